@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,21 +49,19 @@ def local_session(cores: str = "8", app: str = "millrace") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``; checkpoints and written tables go there.
 
     A machine-local folder is made only where the setting is absent and the master is local, as in tests.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_DIR, configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    context = spark.sparkContext
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
+    if not configured and not context.master.startswith("local"):
+        raise RuntimeError(f"{CHECKPOINT_DIR} must name a folder that all executors share")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="millrace-"))
+    return configured or context.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
