@@ -33,12 +33,12 @@ def station_durations(
     )
 
 
-def station_report(
+def running_stats(
     events: DataFrame, tie: str = "event_id", rows_per_slice: int | None = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Per finished visit: the station's count, minimum, maximum and average duration so far."""
+    """Per finished visit: its duration, and the station's count, minimum, maximum and sum of durations so far."""
     order = ["ts", tie]
-    durations = station_durations(events, tie, rows_per_slice)
+    visits = station_durations(events, tie, rows_per_slice)
     # OUT events are a superset of the rows to scan and need no window to find.
     cuts = find_cuts(events.where(F.col("action") == OUT), LINE_STATION, order, rows_per_slice)
     duration = F.col("duration_ms")
@@ -46,10 +46,15 @@ def station_report(
         running_count("unit_count"),
         running_min("min_duration_ms", duration),
         running_max("max_duration_ms", duration),
-        running_sum("_sum", duration),
+        running_sum("sum_duration_ms", duration),
     ]
-    return (
-        scan(durations, LINE_STATION, order, folds, cuts)
-        .withColumn("avg_duration_ms", F.col("_sum") / F.col("unit_count"))
-        .drop("_sum", "duration_ms")
-    )
+    return scan(visits, LINE_STATION, order, folds, cuts)
+
+
+def station_report(
+    events: DataFrame, tie: str = "event_id", rows_per_slice: int | None = ROWS_PER_SLICE
+) -> DataFrame:
+    """Per finished visit: the station's count, minimum, maximum and average duration so far."""
+    stats = running_stats(events, tie, rows_per_slice)
+    average = F.col("sum_duration_ms") / F.col("unit_count")
+    return stats.withColumn("avg_duration_ms", average).drop("sum_duration_ms", "duration_ms")

@@ -259,7 +259,9 @@ def inactivity_sessions(events: DataFrame, period_seconds: int) -> DataFrame:
     one row per task. It differs from ``inactivity_buffered`` for late events only: one behind the watermark is
     still merged while its session is open.
     """
-    session = F.session_window("ts", f"{period_seconds} seconds").alias("session")
+    # Sessions that just touch are merged, while a silence of exactly the period is to alert.
+    gap = f"{period_seconds * 1_000_000 - 1} microseconds"
+    session = F.session_window("ts", gap).alias("session")
     return (
         events.groupBy(session, *LINE_STATION)
         .agg(F.max("ts").alias("last_seen"))
