@@ -23,7 +23,7 @@ def _alerts(
     order = ["ts", tie]
     timeline = events.select(*LINE_STATION, *order)
     cuts = find_cuts(timeline, LINE_STATION, order, rows_per_slice)
-    rows = scan(timeline, LINE_STATION, order, [next_row("_next", F.col("ts"), order)], cuts)
+    rows = scan(timeline, LINE_STATION, order, [next_row("_next", "ts", order)], cuts)
     due = F.col("ts") + seconds(period_seconds)
     silent = F.col("_next") >= due if equal_gap_alerts else F.col("_next") > due
     # The last event of a station alerts when the final watermark passes its due time.

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -58,6 +60,10 @@ def find_cuts(
     sample = df.select(*keys, *order)
     if rows_per_slice > per_slice:
         sample = sample.sample(fraction=per_slice / rows_per_slice, seed=7)
+    enough = 2 * per_slice + 1
+    if len(sample.take(enough)) < enough:
+        # Not even all keys together are large. Without a shuffle, and on a large input after its first partitions.
+        return None
     points = (
         sample.groupBy(*keys)
         .agg(F.sort_array(F.collect_list(F.struct(*order))).alias(CUTS))
@@ -74,24 +80,29 @@ def find_cuts(
 
 
 def with_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts) -> DataFrame:
-    """Add ``_slice``: how many boundaries of the row's key are at or before the row (0 for a key without cuts)."""
+    """Add ``_slice``: how many boundaries of the row's key are at or before the row, null for a key without cuts.
+
+    A binary search by halving steps, one projection per step: as a chain of projections it is compiled, which a
+    higher-order function over the array is not.
+    """
     here = F.struct(*order)
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(cuts.longest.bit_length()))])
-    # Binary search by halving steps; F.get is null past the end of the array.
-    position = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda found, step: found + F.when(F.get(CUTS, found + step - 1) <= here, step).otherwise(0),
-    )
-    return df.join(cuts.small(cuts.table), list(keys), "left").withColumn(SLICE, position)
+    found = F.col(SLICE)
+    rows = df.join(cuts.small(cuts.table), list(keys), "left")
+    rows = rows.withColumn(SLICE, F.when(F.col(CUTS).isNotNull(), 0))
+    for bit in reversed(range(cuts.longest.bit_length())):
+        step = 1 << bit
+        # F.get is null past the end of the array.
+        passed = F.get(CUTS, found + step - 1) <= here
+        rows = rows.withColumn(SLICE, found + F.when(passed, step).otherwise(0))
+    return rows.drop(CUTS)
 
 
 @dataclass(frozen=True)
 class Fold:
     """One running value: inside a slice, of a whole slice, over slices, and the two put together.
 
-    ``local`` gets the ordered window of the part and its running frame; ``carry`` gets the name of the total and the
-    ordered window over a key's slices.
+    ``local`` gets the ordered window of the part and ``carry`` the name of the total and the ordered window over a
+    key's slices. Rows where ``relevant`` is null do not change the total.
     """
 
     name: str
@@ -99,6 +110,7 @@ class Fold:
     total: Column
     carry: Callable[[str, WindowSpec], Column]
     merge: Callable[[Column, Column], Column]
+    relevant: Column
     backward: bool = False
 
 
@@ -117,6 +129,7 @@ def _running(name: str, aggregate: Callable, value: Column, carry: Callable, mer
         aggregate(value),
         lambda total, w: carry(total).over(_before(w)),
         merge,
+        value,
     )
 
 
@@ -149,6 +162,7 @@ def max_before(name: str, value: Column) -> Fold:
         F.max(value),
         lambda total, w: F.max(total).over(_before(w)),
         F.greatest,
+        value,
     )
 
 
@@ -160,6 +174,7 @@ def last_known(name: str, value: Column, order: Sequence[str]) -> Fold:
         F.max_by(value, F.when(value.isNotNull(), F.struct(*order))),
         lambda total, w: F.last(total, ignorenulls=True).over(_before(w)),
         lambda carried, local: F.coalesce(local, carried),
+        value,
     )
 
 
@@ -174,6 +189,7 @@ def next_known(name: str, value: Column, order: Sequence[str]) -> Fold:
         F.min_by(value, F.when(value.isNotNull(), F.struct(*order))),
         lambda total, w: F.last(total, ignorenulls=True).over(_before(w)),
         lambda carried, local: F.coalesce(local, carried),
+        value,
         backward=True,
     )
 
@@ -186,17 +202,22 @@ def previous_row(name: str, value: Column, order: Sequence[str]) -> Fold:
         F.max_by(value, F.struct(*order)),
         lambda total, w: F.lag(total).over(w),
         lambda carried, local: F.coalesce(local, carried),
+        value,
     )
 
 
-def next_row(name: str, value: Column, order: Sequence[str]) -> Fold:
-    """``value`` (not null) of the row after this one."""
+def next_row(name: str, column: str, order: Sequence[str]) -> Fold:
+    """``column`` (not null) of the row after this one."""
+    value = F.col(column)
+    # The smallest value of the leading order column is that of the first row; a plain minimum needs no sort.
+    first = F.min(value) if column == order[0] else F.min_by(value, F.struct(*order))
     return Fold(
         name,
         lambda w: F.lead(value).over(w),
-        F.min_by(value, F.struct(*order)),
+        first,
         lambda total, w: F.lead(total).over(w),
         lambda carried, local: F.coalesce(local, carried),
+        value,
     )
 
 
@@ -213,11 +234,16 @@ def scan(
         return local
 
     # Only rows of cut keys have a slice before or after them. One row per slice from here on.
+    relevant = reduce(or_, [f.relevant.isNotNull() for f in folds])
     totals = (
-        rows.where(F.col(CUTS).isNotNull())
+        with_slice(df.where(relevant), keys, order, cuts)
+        .where(F.col(SLICE).isNotNull())
         .groupBy(*part)
         .agg(*[f.total.alias(f"_total_{f.name}") for f in folds])
     )
+    # A slice without such rows still has slices around it.
+    every = cuts.table.select(*keys, F.explode(F.sequence(F.lit(0), F.size(CUTS))).alias(SLICE))
+    totals = every.join(cuts.small(totals), part, "left")
     upward = Window.partitionBy(*keys).orderBy(SLICE)
     downward = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc())
     carried = totals.select(

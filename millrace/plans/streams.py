@@ -28,12 +28,9 @@ from millrace.session import fresh_path
 from millrace.sources.files import run_to_table, watch_parquet
 from millrace.streaming import joins, state, stations, units, windows
 
-EVENTS = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-
-
 def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream; a watermark needs TIMESTAMP."""
-    events = watch_parquet(spark, sf_dir, EVENTS, "events.parquet")
+    events = watch_parquet(spark, sf_dir, views.TABLES["events"], "events.parquet")
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

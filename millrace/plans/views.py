@@ -5,10 +5,9 @@ Every view is an expression over the whole table, so it grows with it. ``ts`` st
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.records import reading
 from millrace.operators.slices import find_cuts, running_sum, scan
 from millrace.schemas import ENERGY_CONSUMPTION, IN, LINE_STATION, OUT, TEMPERATURE
 
@@ -17,83 +16,75 @@ LINE_STATIONS = 2
 GENERATOR_LINES, GENERATOR_STATIONS = 3, 4
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def div(value: str | Column, by: int) -> Column:
-    """Integer division (exact for every BIGINT)."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.call_function("div", value, F.lit(by).cast("bigint"))
+# Layouts of the tables read, so that no file has to be opened to plan a query.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+}
 
 
-def _action(even: Column) -> Column:
-    return F.when(even % 2 == 0, IN).otherwise(OUT)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def as_line_events(events: DataFrame) -> DataFrame:
     """Every unit passes two stations: IN and OUT at station 0, then at station 1."""
-    unit = div("event_id", 4)
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "ts",
-        (unit % 3).cast("int").alias("line"),
-        div(F.col("event_id") % 4, 2).cast("int").alias("station"),
-        unit.alias("unit_id"),
-        _action(F.col("event_id")).alias("action"),
+        "CAST((event_id DIV 4) % 3 AS INT) AS line",
+        "CAST((event_id % 4) DIV 2 AS INT) AS station",
+        "event_id DIV 4 AS unit_id",
+        f"IF(event_id % 2 = 0, '{IN}', '{OUT}') AS action",
     )
 
 
 def as_station_events(events: DataFrame) -> DataFrame:
     """Every unit visits one station."""
-    unit = div("event_id", 2)
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "ts",
-        (unit % GENERATOR_LINES).cast("int").alias("line"),
-        (unit % GENERATOR_STATIONS).cast("int").alias("station"),
-        unit.alias("unit_id"),
-        _action(F.col("event_id")).alias("action"),
+        f"CAST((event_id DIV 2) % {GENERATOR_LINES} AS INT) AS line",
+        f"CAST((event_id DIV 2) % {GENERATOR_STATIONS} AS INT) AS station",
+        "event_id DIV 2 AS unit_id",
+        f"IF(event_id % 2 = 0, '{IN}', '{OUT}') AS action",
     )
 
 
 def as_visitor_events(events: DataFrame) -> DataFrame:
     """Activity of 3 lines x 4 stations, spread by user."""
-    return events.select(
+    return events.selectExpr(
         "event_id",
         "ts",
-        (F.col("user_id") % 3).cast("int").alias("line"),
-        (div("user_id", 3) % 4).cast("int").alias("station"),
-        F.col("user_id").alias("unit_id"),
-        _action(F.col("event_id")).alias("action"),
+        "CAST(user_id % 3 AS INT) AS line",
+        "CAST((user_id DIV 3) % 4 AS INT) AS station",
+        "user_id AS unit_id",
+        f"IF(event_id % 2 = 0, '{IN}', '{OUT}') AS action",
     )
 
 
+# Readings of 3 lines x 2 stations.
+_READING = [
+    "event_id AS reading_id",
+    "ts",
+    "CAST(user_id % 3 AS INT) AS line",
+    "CAST((user_id DIV 3) % 2 AS INT) AS station",
+]
+
+
 def as_readings(events: DataFrame) -> DataFrame:
-    """Sensor readings of 3 lines x 2 stations as they are reported: value and temperature of one instant."""
-    return events.select(
-        F.col("event_id").alias("reading_id"),
-        "ts",
-        (F.col("user_id") % 3).cast("int").alias("line"),
-        (div("user_id", 3) % 2).cast("int").alias("station"),
-        F.create_map(
-            F.lit(ENERGY_CONSUMPTION),
-            reading(ENERGY_CONSUMPTION, F.col("value"), "kWh"),
-            F.lit(TEMPERATURE),
-            reading(TEMPERATURE, F.col("value") / 10, "C"),
-        ).alias("readings"),
+    """Sensor readings as they are reported: energy and temperature of one instant."""
+    return events.selectExpr(
+        *_READING,
+        f"""map('{ENERGY_CONSUMPTION}', named_struct('type', '{ENERGY_CONSUMPTION}', 'value', value, 'unit', 'kWh'),
+                '{TEMPERATURE}', named_struct('type', '{TEMPERATURE}', 'value', value / 10, 'unit', 'C')) AS readings""",
     )
 
 
 def as_meter(events: DataFrame) -> DataFrame:
     """The energy of the readings summed up per station, as a meter that only rises."""
-    amounts = events.select(
-        F.col("event_id").alias("reading_id"),
-        "ts",
-        (F.col("user_id") % 3).cast("int").alias("line"),
-        (div("user_id", 3) % 2).cast("int").alias("station"),
-        "value",
-    )
+    amounts = events.selectExpr(*_READING, "value")
     order = ["ts", "reading_id"]
     cuts = find_cuts(amounts, LINE_STATION, order)
     return scan(amounts, LINE_STATION, order, [running_sum("energy", F.col("value"))], cuts).drop("value")
@@ -101,23 +92,18 @@ def as_meter(events: DataFrame) -> DataFrame:
 
 def delayed(events: DataFrame) -> DataFrame:
     """The same rows in the same arrival order, some with a time 5 or 20 minutes earlier than when they arrive."""
-    residue = F.col("event_id") % 7
-    delay = (
-        F.when(residue == 3, F.expr("INTERVAL '20' MINUTE"))
-        .when(residue == 5, F.expr("INTERVAL '5' MINUTE"))
-        .otherwise(F.expr("INTERVAL '0' MINUTE"))
-    )
-    return events.withColumn("ts", F.col("ts") - delay)
+    delay = "CASE event_id % 7 WHEN 3 THEN INTERVAL '20' MINUTE WHEN 5 THEN INTERVAL '5' MINUTE ELSE INTERVAL '0' MINUTE END"
+    return events.withColumn("ts", F.expr(f"ts - {delay}"))
 
 
 def as_measured_visits(events: DataFrame) -> DataFrame:
     """Every event as a visit of the unit ``user_id``; the energy is missing where the event is an error."""
-    return events.select(
+    return events.selectExpr(
         "event_id",
-        (F.col("event_id") % 3).cast("int").alias("line"),
-        F.col("user_id").alias("unit_id"),
-        F.col("ts").alias("end_ts"),
-        F.when(F.col("event_type") != "error", F.col("value")).alias("energy_consumption"),
+        "CAST(event_id % 3 AS INT) AS line",
+        "user_id AS unit_id",
+        "ts AS end_ts",
+        "IF(event_type <> 'error', value, NULL) AS energy_consumption",
     )
 
 

@@ -66,10 +66,12 @@ def to_batches(
 def run_to_table(stream: DataFrame, folder: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all input there is, write the result to the shared folder and return it as a table.
 
-    The file sink commits each micro-batch once, so a restart with the same folders neither loses nor repeats rows.
+    The file sink commits each micro-batch once, so a restart with the same checkpoint neither loses nor repeats rows.
+    Its output stays with the checkpoint, beside which it lies unless a folder is given.
     """
     spark = stream.sparkSession
-    folder = folder or fresh_path(spark, "table")
+    checkpoint = checkpoint or fresh_path(spark, "query")
+    folder = folder or f"{checkpoint}-table"
     query = _writer(stream, checkpoint).format("parquet").trigger(availableNow=True).start(folder)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(folder)

@@ -20,6 +20,8 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("4", "millrace-tests")
+    # State stores and Python workers are per partition; the data is tiny.
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 

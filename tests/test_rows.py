@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from millrace.functions import records, text, time
+from millrace.operators import rows
+from millrace.schemas import NESTED_EVENT, PROCESSING_EVENT
+from tests.conftest import at, millis
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def nested(spark):
+    data = [(i, 2 * i, i, "value", "b", "c", [("x", "y", 1)], True, False) for i in (1, 2, 3)]
+    return spark.createDataFrame(data, NESTED_EVENT)
+
+
+def test_emit_twice_and_double(spark):
+    got = rows.doubled(rows.emit_twice(nested(spark)), "long2").select("id", "long2", "tag").collect()
+    assert sorted(tuple(r) for r in got) == sorted(
+        (i, 2 * i, tag) for i in (1, 2, 3) for tag in ("emitted first time", "emitted second time")
+    )
+
+
+def test_both_branches_see_the_parent(spark):
+    bar, baz = rows.fan_out(nested(spark), "string1")
+    assert {r.string1 for r in bar.collect()} == {"bar"}
+    assert {r.string1 for r in baz.collect()} == {"baz"}
+
+
+def test_a_branch_that_sees_another_value_fails(spark):
+    with pytest.raises(PySparkException, match="string1 should be foo"):
+        rows.expect_then_set(nested(spark), "string1", "foo", "bar").collect()
+
+
+def test_fan_out_of_a_stream_into_two_sinks(player, tmp_path):
+    play = player(events="id BIGINT, string1 STRING")
+    seen = []
+
+    def both(batch, _):
+        bar, baz = rows.fan_out(batch, "string1")
+        seen.extend(r.string1 for r in bar.collect() + baz.collect())
+
+    from millrace.sources.files import to_batches
+
+    play.query = to_batches(play.stream("events"), both, play.checkpoint)
+    play.spark.sql(f"CREATE OR REPLACE TEMP VIEW {play.table} AS SELECT 1")
+    play.feed(events=[{"id": 1, "string1": "value-1"}, {"id": 2, "string1": "value-2"}])
+    assert sorted(seen) == ["bar", "bar", "baz", "baz"]
+
+
+def test_filters(spark):
+    data = [(at("2026-01-30 12:00:00"), 0, s, 1, a) for s in (0, 1) for a in ("IN", "OUT")]
+    events = spark.createDataFrame(data, PROCESSING_EVENT)
+    assert [(r.station, r.action) for r in rows.finished_units(events, 2).collect()] == [(1, "OUT")]
+    assert {r.station for r in rows.out_events(events).collect()} == {0, 1}
+
+
+def test_spread_evenly_keeps_rows_and_evens_partitions(spark):
+    skewed = spark.range(1000).repartition(4, F.lit(0))
+    spread = rows.spread_evenly(skewed, 4)
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+    sizes = spread.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) <= 260
+    assert sorted(r.id for r in rows.spread_evenly(skewed).collect()) == list(range(1000))
+
+
+def test_row_steps_need_no_exchange(spark):
+    steps = [rows.count_step(f"string{i}", f"letters{i}", f"digits{i}") for i in (1, 2, 3)]
+    counted = rows.keyed_steps(nested(spark), steps)
+    assert "Exchange" not in plan_of(counted)
+    assert [(r.letters1, r.digits1, r.letters2) for r in counted.orderBy("id").collect()] == [(5, 0, 1)] * 3
+
+
+def test_steps_on_one_key_share_one_exchange(spark):
+    by_id = Window.partitionBy("id").orderBy("long1")
+    steps = [lambda df, i=i: df.withColumn(f"n{i}", F.row_number().over(by_id) + i) for i in range(3)]
+    assert plan_of(rows.keyed_steps(nested(spark), steps)).count("Exchange hashpartitioning") == 1
+
+
+def test_connect(spark):
+    left = spark.createDataFrame([(1, "a")], "line INT, action STRING")
+    right = spark.createDataFrame([(1, 2.0)], "line INT, energy DOUBLE")
+    got = sorted((r.side, r.action, r.energy) for r in rows.connect(left, right).collect())
+    assert got == [(0, "a", None), (1, None, 2.0)]
+
+
+def test_pass_through(spark):
+    assert rows.pass_through(nested(spark)).collect() == nested(spark).collect()
+
+
+TEXTS = [("abc 123", 3, 3), ("", 0, 0), ("é٣ß—x_9", 3, 2), ("日本 ５", 2, 1), ("²½", 0, 0)]
+
+
+@pytest.mark.parametrize("given, letters, digits", TEXTS)
+def test_letters_and_digits(spark, given, letters, digits):
+    df = spark.createDataFrame([(given,)], "s STRING")
+    assert tuple(df.select(text.letter_count("s"), text.digit_count("s")).first()) == (letters, digits)
+    assert tuple(df.select(text.total_letters("s", "s", "s"), text.total_digits("s", "s", "s")).first()) == (
+        3 * letters,
+        3 * digits,
+    )
+
+
+def test_millis(spark):
+    ts = at("2026-01-30 12:00:00.123456")
+    df = spark.createDataFrame([(ts, at("2026-01-30 12:00:01.123"))], "a TIMESTAMP, b TIMESTAMP")
+    got = df.select(
+        time.to_millis("a"),
+        time.from_millis(time.to_millis("a")),
+        time.duration_ms("a", "b"),
+        F.col("a") + time.seconds(1.5),
+    ).first()
+    assert tuple(got) == (millis(ts), ts.replace(microsecond=123000), 1000, at("2026-01-30 12:00:01.623456"))
+
+
+def test_reading_values(spark):
+    df = spark.range(1).select(
+        F.create_map(F.lit("TEMPERATURE"), records.reading("TEMPERATURE", F.lit(21.5), "C")).alias("readings")
+    )
+    assert tuple(df.select(records.temperature("readings"), records.energy("readings")).first()) == (21.5, None)
+
+
+def test_json_round_trip(spark):
+    original = nested(spark)
+    assert records.decode_json(records.encode_json(original), NESTED_EVENT).collect() == original.collect()
+
+
+def test_bad_json_fails(spark):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        records.decode_json(spark.createDataFrame([("{",)], "value STRING"), "id BIGINT").collect()

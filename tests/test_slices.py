@@ -36,7 +36,8 @@ def folds():
         slices.last_known("last_v", value, ORDER),
         slices.next_known("next_v", value, ORDER),
         slices.previous_row("prev_id", F.col("id"), ORDER),
-        slices.next_row("next_id", F.col("id"), ORDER),
+        slices.next_row("next_id", "id", ORDER),
+        slices.next_row("next_t", "t", ORDER),
     ]
 
 
@@ -62,6 +63,7 @@ def brute_force(rows: list[tuple]) -> dict[int, tuple]:
                 ahead[0] if ahead else None,
                 group[i - 1][2] if i else None,
                 group[i + 1][2] if i + 1 < len(group) else None,
+                group[i + 1][1] if i + 1 < len(group) else None,
             )
     return out
 
@@ -73,15 +75,27 @@ def test_scan_equals_brute_force(spark, rows_per_slice):
     cuts = slices.find_cuts(df, KEYS, ORDER, rows_per_slice)
     assert (cuts is None) == (rows_per_slice in (None, 100_000))
     got = slices.scan(df, KEYS, ORDER, folds(), cuts)
-    names = ["n", "s", "lo", "hi", "hi_before", "last_v", "next_v", "prev_id", "next_id"]
+    names = ["n", "s", "lo", "hi", "hi_before", "last_v", "next_v", "prev_id", "next_id", "next_t"]
     assert got.columns == ["k", "t", "id", "v", *names]
     assert {r["id"]: tuple(r[c] for c in names) for r in got.collect()} == brute_force(rows)
 
 
+@pytest.mark.parametrize("index", range(10))
+def test_each_fold_alone(spark, index):
+    """Slices without a value of their own still get what the slices before and after them hold."""
+    rows = [(0, i, i, 1.0 * i if i in (3, 90) else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "k INT, t INT, id INT, v DOUBLE")
+    cuts = slices.find_cuts(df, KEYS, ORDER, 5)
+    fold = folds()[index]
+    got = slices.scan(df, KEYS, ORDER, [fold], cuts)
+    assert {r["id"]: r[fold.name] for r in got.collect()} == {i: v[index] for i, v in brute_force(rows).items()}
+
+
 def test_slices_of_the_hot_key_are_small(spark):
     df = spark.createDataFrame(skewed_rows(), "k INT, t INT, id INT, v DOUBLE")
     cuts = slices.find_cuts(df, KEYS, ORDER, 20)
-    sizes = slices.with_slice(df, KEYS, ORDER, cuts).groupBy("k", slices.SLICE).count().toPandas()
+    sliced = slices.with_slice(df, KEYS, ORDER, cuts).fillna(0, [slices.SLICE])
+    sizes = sliced.groupBy("k", slices.SLICE).count().toPandas()
     hot = sizes[sizes.k == 0]
     assert hot["count"].sum() == 300
     # Sampling makes slices uneven, by a few times at most. The tied instant is split, too.
@@ -93,7 +107,8 @@ def test_slices_of_the_hot_key_are_small(spark):
 def test_slices_follow_the_order(spark):
     df = spark.createDataFrame(skewed_rows(), "k INT, t INT, id INT, v DOUBLE")
     cuts = slices.find_cuts(df, KEYS, ORDER, 10)
-    rows: pd.DataFrame = slices.with_slice(df, KEYS, ORDER, cuts).toPandas().sort_values(["k", "t", "id"])
+    sliced = slices.with_slice(df, KEYS, ORDER, cuts).fillna(0, [slices.SLICE])
+    rows: pd.DataFrame = sliced.toPandas().sort_values(["k", "t", "id"])
     assert rows.groupby("k")[slices.SLICE].apply(lambda s: s.is_monotonic_increasing).all()
 
 
