@@ -79,16 +79,19 @@ def find_cuts(
     return Cuts(points, longest, total)
 
 
-def with_slice(df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts) -> DataFrame:
-    """Add ``_slice``: how many boundaries of the row's key are at or before the row, null for a key without cuts.
+def with_slice(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts, only_cut_keys: bool = False
+) -> DataFrame:
+    """Add ``_slice``: how many boundaries of the row's key are at or before the row (0 for a key without cuts).
 
     A binary search by halving steps, one projection per step: as a chain of projections it is compiled, which a
-    higher-order function over the array is not.
+    higher-order function over the array is not. ``_slice`` is never null and is not to be filtered on: such a
+    predicate would be pushed through the chain and double at every step.
     """
     here = F.struct(*order)
     found = F.col(SLICE)
-    rows = df.join(cuts.small(cuts.table), list(keys), "left")
-    rows = rows.withColumn(SLICE, F.when(F.col(CUTS).isNotNull(), 0))
+    rows = df.join(cuts.small(cuts.table), list(keys), "inner" if only_cut_keys else "left")
+    rows = rows.withColumn(SLICE, F.lit(0))
     for bit in reversed(range(cuts.longest.bit_length())):
         step = 1 << bit
         # F.get is null past the end of the array.
@@ -236,8 +239,7 @@ def scan(
     # Only rows of cut keys have a slice before or after them. One row per slice from here on.
     relevant = reduce(or_, [f.relevant.isNotNull() for f in folds])
     totals = (
-        with_slice(df.where(relevant), keys, order, cuts)
-        .where(F.col(SLICE).isNotNull())
+        with_slice(df.where(relevant), keys, order, cuts, only_cut_keys=True)
         .groupBy(*part)
         .agg(*[f.total.alias(f"_total_{f.name}") for f in folds])
     )

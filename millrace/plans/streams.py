@@ -13,6 +13,7 @@ from millrace.functions.records import energy
 from millrace.operators import counts as batch_counts
 from millrace.plans import views
 from millrace.plans.catalog import (
+    AVERAGE_DIGITS,
     DISORDER_SECONDS,
     INACTIVITY_SECONDS,
     LATENESS_SECONDS,
@@ -26,11 +27,15 @@ from millrace.plans.catalog import (
 )
 from millrace.session import fresh_path
 from millrace.sources.files import run_to_table, watch_parquet
-from millrace.streaming import joins, state, stations, units, windows
+from millrace.streaming import joins, micro, state, stations, units, windows
+
+# Input of a micro-batch at most (one file at least), so that a large table is taken in parts.
+MICRO_BATCH = 8 * 1024**3
+
 
 def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table as a stream; a watermark needs TIMESTAMP."""
-    events = watch_parquet(spark, sf_dir, views.TABLES["events"], "events.parquet")
+    events = watch_parquet(spark, sf_dir, views.TABLES["events"], "events.parquet", max_bytes=MICRO_BATCH)
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -92,11 +97,11 @@ def stream_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(run_to_table(joins.asof_join(events, readings, ["energy"], "event_id", "reading_id")))
 
 
-@query("stream_asof_join_salted", _ASOF)
-def stream_asof_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("stream_asof_join_unsalted", _ASOF)
+def stream_asof_join_unsalted(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = windows.with_disorder(line_events(spark, sf_dir))
     readings = windows.with_disorder(energy_readings(spark, sf_dir))
-    return _stored(run_to_table(joins.asof_join(events, readings, ["energy"], "event_id", "reading_id", salts=4)))
+    return _stored(run_to_table(joins.asof_join(events, readings, ["energy"], "event_id", "reading_id", salts=1)))
 
 
 @query("stream_asof_join_with_lateness", _ASOF)
@@ -208,12 +213,39 @@ def stream_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "stream_station_report_with_average",
     "SELECT line, station, unit_count, min_duration_ms, max_duration_ms, avg_duration_ms FROM ("
-    + _report_sql(VISITOR_EVENTS, "visitor_events", ", round(avg(d) OVER w, 6) AS avg_duration_ms")
+    + _report_sql(VISITOR_EVENTS, "visitor_events", f", round(avg(d) OVER w, {AVERAGE_DIGITS}) AS avg_duration_ms")
     + ")",
 )
 def stream_station_report_with_average(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = run_to_table(stations.station_report(visitor_events(spark, sf_dir), "event_id", average=True))
-    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", 6))
+    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS))
+
+
+@query(
+    "micro_batch_station_count",
+    f"""WITH {STATION_EVENTS}
+SELECT event_id, line, station, row_number() OVER (PARTITION BY line, station ORDER BY ts, event_id) AS unit_count
+FROM station_events WHERE action = 'OUT'""",
+)
+def micro_batch_station_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = _by_micro_batch(station_events(spark, sf_dir), micro.running_station_count())
+    return counted.select("event_id", "line", "station", "unit_count")
+
+
+@query(
+    "micro_batch_station_report",
+    _report_sql(VISITOR_EVENTS, "visitor_events", f", round(avg(d) OVER w, {AVERAGE_DIGITS}) AS avg_duration_ms"),
+)
+def micro_batch_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = _by_micro_batch(visitor_events(spark, sf_dir), micro.station_report())
+    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS)).drop("ts", "batch")
+
+
+def _by_micro_batch(stream: DataFrame, step: micro.Step) -> DataFrame:
+    spark = stream.sparkSession
+    folder = fresh_path(spark, "figures")
+    micro.run(stream, step, folder, f"{folder}/checkpoint").awaitTermination()
+    return micro.output(spark, folder)
 
 
 @query(

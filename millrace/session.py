@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Of several sources the slowest sets the pace.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
     # transformWithState needs column families, hence RocksDB; changelogs keep checkpoints incremental.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -29,12 +29,12 @@ def watch_processing_events(spark: SparkSession, folder: str, max_files: int | N
 
 
 def watch_parquet(
-    spark: SparkSession, folder: str, schema: str, name: str = "*.parquet", max_files: int | None = None
+    spark: SparkSession, folder: str, schema: str, name: str = "*.parquet", max_bytes: int | None = None
 ) -> DataFrame:
-    """New parquet files of a folder whose name matches."""
+    """New parquet files of a folder whose name matches; ``max_bytes`` bounds a micro-batch."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.parquet(folder)
 
 

@@ -16,6 +16,8 @@ from millrace.schemas import LINE_STATION
 from millrace.streaming.stations import _reset_timer, micros, tie_column
 
 SALT = "_salt"
+# Sub-keys per station. Readings are copied to each, so it pays where events far outnumber readings.
+SALTS = 4
 
 
 def _empty_value(field: T.StructField) -> Column:
@@ -205,7 +207,7 @@ def asof_join(
     values: Sequence[str],
     tie: str | None = None,
     reading_tie: str | None = None,
-    salts: int = 1,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Each event, once the watermark reaches it, with the latest reading at or before it (nulls if none).
 
@@ -222,7 +224,7 @@ def asof_join_with_lateness(
     lateness_seconds: float,
     tie: str | None = None,
     reading_tie: str | None = None,
-    salts: int = 1,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The as-of join with a grace period: an event up to ``lateness`` behind the on-time boundary is still matched.
 
@@ -247,7 +249,7 @@ def nearest_join(
     values: Sequence[str],
     tie: str | None = None,
     reading_tie: str | None = None,
-    salts: int = 1,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Each event with the nearest reading that arrived in its micro-batch or before, and ``time_delta_ms``.
 

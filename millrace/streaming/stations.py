@@ -109,12 +109,15 @@ class DurationReport(StatefulProcessor):
         """Per row the time of the unit's IN just before it (nullable), with the map state brought up to date."""
         previous = batch.groupby("unit_id", sort=False)[["action", "ms"]].shift()
         arrival = previous["ms"].where(previous["action"] == IN).astype("Int64")
-        for i in batch.index[~batch["unit_id"].duplicated()]:
+        goes_in = batch["action"] == IN
+        first = ~batch["unit_id"].duplicated()
+        leaving_open = ~batch["unit_id"].duplicated(keep="last") & goes_in
+        overwritten = goes_in & batch["unit_id"].isin(batch.loc[leaving_open, "unit_id"])
+        for i in batch.index[first & ~overwritten]:
             unit = (int(batch.at[i, "unit_id"]),)
             if self.inside.containsKey(unit):
                 arrival.at[i] = self.inside.getValue(unit)[0]
                 self.inside.removeKey(unit)
-        leaving_open = ~batch["unit_id"].duplicated(keep="last") & (batch["action"] == IN)
         for unit_id, ms in batch.loc[leaving_open, ["unit_id", "ms"]].itertuples(index=False):
             self.inside.updateValue((int(unit_id),), (int(ms),))
         return arrival

@@ -40,7 +40,7 @@ def units_per_window(events: DataFrame, stations: int, bound: str = DISORDER, wi
 
 
 def energy_per_unit(
-    events: DataFrame, readings: DataFrame, stations: int, energy: str = "energy", salts: int = 1
+    events: DataFrame, readings: DataFrame, stations: int, energy: str = "energy", salts: int = joins.SALTS
 ) -> DataFrame:
     """As-of join, pairing and sum as three stateful steps of one query.
 

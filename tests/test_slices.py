@@ -94,7 +94,7 @@ def test_each_fold_alone(spark, index):
 def test_slices_of_the_hot_key_are_small(spark):
     df = spark.createDataFrame(skewed_rows(), "k INT, t INT, id INT, v DOUBLE")
     cuts = slices.find_cuts(df, KEYS, ORDER, 20)
-    sliced = slices.with_slice(df, KEYS, ORDER, cuts).fillna(0, [slices.SLICE])
+    sliced = slices.with_slice(df, KEYS, ORDER, cuts)
     sizes = sliced.groupBy("k", slices.SLICE).count().toPandas()
     hot = sizes[sizes.k == 0]
     assert hot["count"].sum() == 300
@@ -107,11 +107,22 @@ def test_slices_of_the_hot_key_are_small(spark):
 def test_slices_follow_the_order(spark):
     df = spark.createDataFrame(skewed_rows(), "k INT, t INT, id INT, v DOUBLE")
     cuts = slices.find_cuts(df, KEYS, ORDER, 10)
-    sliced = slices.with_slice(df, KEYS, ORDER, cuts).fillna(0, [slices.SLICE])
+    sliced = slices.with_slice(df, KEYS, ORDER, cuts)
     rows: pd.DataFrame = sliced.toPandas().sort_values(["k", "t", "id"])
     assert rows.groupby("k")[slices.SLICE].apply(lambda s: s.is_monotonic_increasing).all()
 
 
+def test_the_search_stays_a_chain(spark):
+    """One comparison per step and pass, also after the optimizer; nested, it would be 2 ** steps of them."""
+    df = spark.createDataFrame([(0, i, i, 1.0) for i in range(2000)], "k INT, t INT, id INT, v DOUBLE")
+    cuts = slices.find_cuts(df, KEYS, ORDER, 1)
+    steps = cuts.longest.bit_length()
+    assert steps >= 10
+    got = slices.scan(df, KEYS, ORDER, folds(), cuts)
+    assert got._jdf.queryExecution().executedPlan().toString().count("_cuts#") < 20 * steps
+    assert got.where("n = 2000").select("id", "prev_id").collect() == [(1999, 1998)]
+
+
 def test_large_cut_tables_are_not_broadcast(spark, monkeypatch):
     df = spark.createDataFrame(skewed_rows(), "k INT, t INT, id INT, v DOUBLE")
     cuts = slices.find_cuts(df, KEYS, ORDER, 10)
