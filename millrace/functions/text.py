@@ -1,4 +1,8 @@
-"""Character counts (JVM-side regular expressions, no Python per row)."""
+"""Character counts (JVM-side regular expressions, no Python per row).
+
+The other characters are removed in runs and the rest is measured, which is about twice as fast as collecting a match
+per character.
+"""
 
 from __future__ import annotations
 
@@ -8,17 +12,17 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode letters and Unicode decimal digits.
-LETTER = r"\p{L}"
-DIGIT = r"\p{Nd}"
+# Runs of anything but Unicode letters, and of anything but Unicode decimal digits.
+NO_LETTERS = r"\P{L}+"
+NO_DIGITS = r"\P{Nd}+"
 
 
 def letter_count(text: str | Column) -> Column:
-    return F.regexp_count(text, F.lit(LETTER))
+    return F.char_length(F.regexp_replace(text, NO_LETTERS, ""))
 
 
 def digit_count(text: str | Column) -> Column:
-    return F.regexp_count(text, F.lit(DIGIT))
+    return F.char_length(F.regexp_replace(text, NO_DIGITS, ""))
 
 
 def total_letters(*texts: str | Column) -> Column:

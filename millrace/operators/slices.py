@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -79,6 +79,17 @@ def find_cuts(
     return Cuts(points, longest, total)
 
 
+def _lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys that may be null.
+
+    A plain equality would also infer not-null filters for one pass over the rows only, and the two passes could not
+    share the exchanges below them.
+    """
+    renamed = table.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(renamed, same, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def with_slice(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: Cuts, only_cut_keys: bool = False
 ) -> DataFrame:
@@ -90,7 +101,7 @@ def with_slice(
     """
     here = F.struct(*order)
     found = F.col(SLICE)
-    rows = df.join(cuts.small(cuts.table), list(keys), "inner" if only_cut_keys else "left")
+    rows = _lookup(df, cuts.small(cuts.table), keys, "inner" if only_cut_keys else "left")
     rows = rows.withColumn(SLICE, F.lit(0))
     for bit in reversed(range(cuts.longest.bit_length())):
         step = 1 << bit
@@ -245,14 +256,14 @@ def scan(
     )
     # A slice without such rows still has slices around it.
     every = cuts.table.select(*keys, F.explode(F.sequence(F.lit(0), F.size(CUTS))).alias(SLICE))
-    totals = every.join(cuts.small(totals), part, "left")
+    totals = _lookup(every, cuts.small(totals), part, "left")
     upward = Window.partitionBy(*keys).orderBy(SLICE)
     downward = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc())
     carried = totals.select(
         *part,
         *[f.carry(f"_total_{f.name}", downward if f.backward else upward).alias(f"_carry_{f.name}") for f in folds],
     )
-    joined = local.join(cuts.small(carried), part, "left")
+    joined = _lookup(local, cuts.small(carried), part, "left")
     return joined.select(
         *[c for c in df.columns],
         *[f.merge(F.col(f"_carry_{f.name}"), F.col(f.name)).alias(f.name) for f in folds],

@@ -18,11 +18,12 @@ def skewed_rows(n: int = 900) -> list[tuple]:
     rng = random.Random(3)
     rows = []
     for i in range(n):
-        key = 0 if i % 3 == 0 else rng.randrange(1, 30)
+        key = 0 if i % 3 == 0 else rng.choice([1, rng.randrange(1, 30)])
         t = 500 if i % 9 == 0 else rng.randrange(1000)
         rows.append((key, t, i, float(rng.randrange(100)) if rng.random() < 0.5 else None))
     rng.shuffle(rows)
-    return rows
+    # The second largest key is missing.
+    return [(None if key == 1 else key, *rest) for key, *rest in rows]
 
 
 def folds():
