@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 # Settings that can be changed on a running session.
 RUNTIME_SETTINGS = {
@@ -31,6 +32,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get(PARTITIONS) == "200":
+        # The default is meant for a cluster; every partition of a stateful query has a store and a Python worker.
+        spark.conf.set(PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
@@ -39,7 +44,7 @@ def local_session(cores: str = "8", app: str = "millrace") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
+        .config(PARTITIONS, cores if cores.isdigit() else "8")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
     )

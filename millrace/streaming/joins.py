@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.asof import EVENT, READING
 from millrace.schemas import LINE_STATION
-from millrace.streaming.stations import _reset_timer, micros, tie_column
+from millrace.streaming.stations import reset_timer, micros, tie_column
 
 SALT = "_salt"
 # Sub-keys per station. Readings are copied to each, so it pays where events far outnumber readings.
@@ -137,7 +137,7 @@ class TimeJoin(StatefulProcessor):
 
         # The event is due when the boundary reaches it; later prunings ride on events and readings that arrive.
         due = int(waiting["us"].min()) - (self.lateness_ms or 0) * 1000 if len(waiting) else None
-        _reset_timer(self.handle, None if due is None else max(-(-due // 1000), 0))
+        reset_timer(self.handle, None if due is None else max(-(-due // 1000), 0))
         if len(out):
             yield out
 

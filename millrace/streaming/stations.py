@@ -147,7 +147,7 @@ def station_report(
     )
 
 
-def _reset_timer(handle: StatefulProcessorHandle, due_ms: int | None) -> None:
+def reset_timer(handle: StatefulProcessorHandle, due_ms: int | None) -> None:
     """One timer per key at most."""
     for timer in list(handle.listTimers()):
         handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
@@ -175,7 +175,7 @@ class InOrderInactivity(StatefulProcessor):
         # Events are assumed to be in order, so the latest of the micro-batch is its last one.
         last = max(int(chunk["us"].max()) for chunk in rows)
         self.last_seen.update((last,))
-        _reset_timer(self.handle, -(-last // 1000) + self.period_ms)
+        reset_timer(self.handle, -(-last // 1000) + self.period_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -230,7 +230,7 @@ class BufferedInactivity(StatefulProcessor):
             self.last_seen.clear()
         due = [int(later[0])] if len(later) else []
         due += [] if last is None else [last + self.period_us]
-        _reset_timer(self.handle, -(-min(due) // 1000) if due else None)
+        reset_timer(self.handle, -(-min(due) // 1000) if due else None)
         if silent:
             yield _alerts(key, [int(us) for us in silent])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row
@@ -9,22 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.schemas import IN, STATION_PROCESSING_EVENT, UNIT_SUMMARY, VISIT
+from millrace.streaming.stations import reset_timer
 
 
 class Pairing(StatefulProcessor):
-    """Holds events without a partner; the oldest one is paired with the next event of the other action."""
+    """Holds events without a partner; the oldest one is paired with the next event of the other action.
 
-    def __init__(self, orphan_ttl_ms: int | None = None) -> None:
-        self.orphan_ttl_ms = orphan_ttl_ms
+    With ``orphan_ms`` an event is forgotten when the watermark is that far past it.
+    """
+
+    def __init__(self, orphan_ms: int | None = None) -> None:
+        self.orphan_ms = orphan_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getListState(
-            "waiting", "action STRING, ts TIMESTAMP, energy DOUBLE", ttlDurationMs=self.orphan_ttl_ms
-        )
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "action STRING, ts TIMESTAMP, energy DOUBLE")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # All that wait have the same action, or they would have been paired.
-        held = [Row(action=a, ts=t, energy=e) for a, t, e in self.waiting.get()] if self.waiting.exists() else []
+        held = self._held()
         waiting = list(held)
         line, station, unit = key
         for row in sorted(rows, key=lambda r: r.ts):
@@ -37,25 +41,49 @@ class Pairing(StatefulProcessor):
             yield Row(
                 line=line, station=station, unit_id=unit, start_ts=start.ts, end_ts=end.ts, energy_consumption=used
             )
+        self._hold(held, waiting)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self._held()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        self._hold(held, [w for w in held if self._due(w) > watermark])
+        return iter([])
+
+    def _held(self) -> list[Row]:
+        if not self.waiting.exists():
+            return []
+        return [Row(action=action, ts=ts, energy=energy) for action, ts, energy in self.waiting.get()]
+
+    def _due(self, event: Row) -> int:
+        return math.ceil(event.ts.timestamp() * 1000) + self.orphan_ms
+
+    def _hold(self, held: list[Row], waiting: list[Row]) -> None:
+        if waiting == held:
+            return
         if waiting:
-            if waiting != held:
-                self.waiting.put([(w.action, w.ts, w.energy) for w in waiting])
-        elif held:
+            self.waiting.put([(w.action, w.ts, w.energy) for w in waiting])
+        else:
             self.waiting.clear()
+        if self.orphan_ms is not None:
+            reset_timer(self.handle, min(map(self._due, waiting), default=None))
 
     def close(self) -> None:
         pass
 
 
-def pair_in_out(events: DataFrame, energy: str | None = None, orphan_ttl_ms: int | None = None) -> DataFrame:
-    """Visits as soon as both events are there; ``orphan_ttl_ms`` forgets an event that never finds its partner."""
+def pair_in_out(events: DataFrame, energy: str | None = None, orphan_seconds: int | None = None) -> DataFrame:
+    """Visits as soon as both events are there.
+
+    ``orphan_seconds`` bounds the state: an event without partner is forgotten when the watermark (which ``events``
+    then needs) is that far past it.
+    """
     meter = F.lit(None).cast("double") if energy is None else F.col(energy)
     rows = events.select(*VISIT, "ts", "action", meter.alias("energy"))
     return rows.groupBy(*VISIT).transformWithState(
-        Pairing(orphan_ttl_ms),
+        Pairing(None if orphan_seconds is None else orphan_seconds * 1000),
         STATION_PROCESSING_EVENT,
         "append",
-        "none" if orphan_ttl_ms is None else "processingTime",
+        "none" if orphan_seconds is None else "eventTime",
     )
 
 

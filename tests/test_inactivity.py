@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -117,3 +120,23 @@ def test_late_event_is_dropped_by_the_buffered_stream(player):
     play.start(stations.inactivity_buffered(windows.in_order(play.stream("events")), PERIOD))
     rows = play_steps(play, ["12:00:00", "@12:05:00", "12:04:00", "@12:10:30"])
     assert seen(rows) == ms("12:00:00")
+
+
+@pytest.mark.parametrize("form", ["inactivity_buffered", "inactivity_sessions"])
+def test_stream_equals_batch(spark, player, form):
+    """Random events of a few stations, out of order within the bound, over three micro-batches."""
+    rng = random.Random(7)
+    start = at(DAY + "00:00:00")
+    rows = [(start + timedelta(seconds=150 * i + rng.randrange(900)), rng.randrange(3), rng.randrange(2), i, "IN") for i in range(240)]
+    names = ["ts", "line", "station", "unit_id", "action"]
+    play = player(events=PROCESSING_EVENT)
+    play.start(getattr(stations, form)(windows.with_disorder(play.stream("events"), "20 minutes"), PERIOD))
+    got = []
+    for part in range(0, 240, 80):
+        got = play.feed(events=[dict(zip(names, r)) for r in rows[part : part + 80]])
+    end = start + timedelta(days=2)
+    got = play.feed(events=[dict(zip(names, (end, 99, 0, -1, "IN")))])
+    events = spark.createDataFrame(rows, PROCESSING_EVENT).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    batch_rows = inactivity.inactivity_buffered(events, PERIOD, tie="unit_id").collect()
+    assert len(batch_rows) > 20
+    assert sorted(tuple(r) for r in got if r.line != 99) == sorted(tuple(r) for r in batch_rows)

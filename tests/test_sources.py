@@ -44,6 +44,15 @@ def test_generic_events_keep_their_key(spark):
     assert wire.decode_generic_events(messages).collect() == events.collect()
 
 
+def test_messages_pass_from_stream_to_stream_unchanged(spark, tmp_path):
+    """What runs between two topics, between two folders here."""
+    messages = wire.encode_generic_events(generators.generic_events(generators.indexed(spark, 20, START, 10)))
+    messages.select("value").write.text(str(tmp_path / "in"))
+    stream = spark.readStream.text(str(tmp_path / "in"))
+    copied = files.run_to_table(wire.encode_generic_events(wire.decode_generic_events(stream)), str(tmp_path / "out"))
+    assert sorted(copied.collect()) == sorted(messages.collect())
+
+
 def test_processing_event_generator(spark):
     got = generators.processing_events(generators.indexed(spark, 24, START, 10)).collect()
     for i, row in enumerate(got):

@@ -165,3 +165,18 @@ def test_sum_per_unit_in_a_stream(player):
     for part in range(0, 200, 70):
         got = play.feed(visits=rows[part : part + 70])
     assert sorted((r.unit_id, r.line, r.energy_consumption) for r in got) == expected_sums(3)
+
+
+def test_an_orphan_is_forgotten(player):
+    play = player(events=PAIRS)
+    play.start(units.pair_in_out(windows.in_order(play.stream("events")), "energy", orphan_seconds=60))
+    names = [c.split()[0] for c in PAIRS.split(", ")]
+
+    def feed(*rows):
+        return play.feed(events=[dict(zip(names, r)) for r in rows])
+
+    feed(visit(0, 0, "IN", 1.0, unit=1), visit(1, 30, "IN", 1.0, unit=2))
+    # Past the minute of the first unit, not past that of the second.
+    feed(visit(2, 70, "IN", 1.0, unit=3))
+    got = feed(visit(3, 75, "OUT", 4.0, unit=1), visit(4, 76, "OUT", 4.0, unit=2))
+    assert [(r.unit_id, r.energy_consumption) for r in got] == [(2, 3.0)]

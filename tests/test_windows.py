@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +103,20 @@ def test_partial_counts_merge(spark):
         assert sorted((r["line"], r["count"]) for r in counted.collect()) == [(0, 50), (1, 50)]
     plan = counted._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_stream_equals_batch(spark, player):
+    rng = random.Random(9)
+    start = at(DAY + "12:00:00")
+    rows = [
+        (start + timedelta(seconds=7 * i + rng.randrange(60)), rng.randrange(3), rng.randrange(2), i, rng.choice(["IN", "OUT"]))
+        for i in range(300)
+    ]
+    names = ["ts", "line", "station", "unit_id", "action"]
+    play = player(events=PROCESSING_EVENT)
+    play.start(counts.in_millis(windows.units_per_window(play.stream("events"), 2, bound="1 minute")))
+    for part in range(0, 300, 100):
+        play.feed(events=[dict(zip(names, r)) for r in rows[part : part + 100]])
+    got = play.feed(events=[dict(zip(names, (start + timedelta(days=1), 99, 1, -1, "OUT")))])
+    batch = counts.in_millis(counts.units_per_window(spark.createDataFrame(rows, PROCESSING_EVENT), 2))
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in batch.collect())
