@@ -21,6 +21,7 @@ import base64
 import hashlib
 import heapq
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KEPT = 2**18
+LONGEST_KEPT = 64
 # A blank between blanks, or at the end after one: only there does cutting a text before its blanks change pre-tokens.
 BLANK_RUN = re.compile(r"\s (?:\s|\Z)| \Z")
 
@@ -45,27 +47,29 @@ class MinimalPerfectHash:
     GAMMA = 2.0
 
     def __init__(self, keys: list[bytes]) -> None:
-        self.sizes: list[int] = []
+        sizes: list[int] = []
         bits, left = [], keys
         while left:
             size = max(int(len(left) * self.GAMMA), 8)
-            at = np.array([xxhash.xxh3_64_intdigest(k, len(self.sizes)) % size for k in left])
+            at = np.array([xxhash.xxh3_64_intdigest(k, len(sizes)) % size for k in left])
             alone = np.bincount(at, minlength=size) == 1
             bits.append(alone)
-            self.sizes.append(size)
+            sizes.append(size)
             left = [k for k, own in zip(left, alone[at].tolist(), strict=True) if not own]
         flat = np.concatenate(bits) if bits else np.zeros(0, bool)
         # Per bit the number of its key, or -1.
         numbers = np.where(flat, np.cumsum(flat) - 1, -1).tolist()
-        starts = np.cumsum([0, *self.sizes]).tolist()
+        starts = np.cumsum([0, *sizes]).tolist()
         self.levels = [numbers[a:b] for a, b in zip(starts, starts[1:], strict=False)]
 
     def __call__(self, key: bytes) -> int:
         """The key's number; for a string that is not a key, any number or -1."""
-        for seed, (size, numbers) in enumerate(zip(self.sizes, self.levels, strict=True)):
-            number = numbers[xxhash.xxh3_64_intdigest(key, seed) % size]
+        seed = 0
+        for numbers in self.levels:
+            number = numbers[xxhash.xxh3_64_intdigest(key, seed) % len(numbers)]
             if number >= 0:
                 return number
+            seed += 1
         return -1
 
 
@@ -82,38 +86,62 @@ class Codec:
         self.tokens: list[bytes] = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.tokens[rank] = token
+        every = range(256)
+        self.byte_pairs = {(a, b): ranks.get(bytes((a, b))) for a in every for b in every}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
-    def pre_token(self, piece: bytes) -> list[int]:
+    def pre_token(self, text: str) -> bytes:
+        """Ids of a pre-token, as little-endian unsigned 32-bit integers."""
+        piece = text.encode()
         token, rank = self.slots[self.whole(piece)]
-        return [rank] if token == piece else self.merge(piece)
+        ids = [rank] if token == piece else self.merge(piece)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ranks of a pre-token that is no token: always the pair of least rank, the leftmost first, is merged."""
+        """Ranks of a pre-token that is no token: always the pair of least rank, the leftmost first, is merged.
+
+        A heap entry is one number: rank, begin and end of a pair, in this order of digits.
+        """
         n, ranks = len(piece), self.ranks
+        width = n.bit_length()
+        low = (1 << width) - 1
         end = list(range(1, n + 1))  # of the part that begins here; 0: merged into an earlier one
-        before = list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+        before = list(range(-1, n))
+        heap = [
+            (r << width | i) << width | i + 2
+            for i, r in enumerate(map(self.byte_pairs.__getitem__, zip(piece, piece[1:], strict=False)))
+            if r is not None
+        ]
         heapq.heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
+            entry = heapq.heappop(heap)
+            stop, i = entry & low, entry >> width & low
             middle = end[i]
             if not middle or middle >= n or end[middle] != stop:
                 continue  # one of the two has changed meanwhile
             end[i], end[middle] = stop, 0
-            if stop < n:
-                before[stop] = i
-                if (r := ranks.get(piece[i : end[stop]])) is not None:
-                    heapq.heappush(heap, (r, i, end[stop]))
+            before[stop] = i
+            if stop < n and (r := ranks.get(piece[i : end[stop]])) is not None:
+                heapq.heappush(heap, (r << width | i) << width | end[stop])
             if (left := before[i]) >= 0 and (r := ranks.get(piece[left:stop])) is not None:
-                heapq.heappush(heap, (r, left, stop))
+                heapq.heappush(heap, (r << width | left) << width | stop)
         return [ranks[piece[i : end[i]]] for i in range(n) if end[i]]
 
     def chunk(self, text: str) -> bytes:
-        """Ids of a piece of text, as little-endian unsigned 32-bit integers."""
-        ids = [i for piece in self.find(text) for i in self.pre_token(piece.encode())]
-        return np.array(ids, "<u4").tobytes()
+        """Ids of a piece of text."""
+        pieces, out = self.pieces, []
+        for piece in self.find(text):
+            ids = pieces.get(piece)
+            if ids is None:
+                ids = self.pre_token(piece)
+                if len(pieces) >= KEPT:
+                    pieces.clear()
+                if len(piece) <= LONGEST_KEPT:
+                    pieces[piece] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def remembered(self, word: str) -> bytes:
         """Ids of a blank and the word after it."""
@@ -122,7 +150,7 @@ class Codec:
             found = self.chunk(" " + word)
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {}
-        if len(word) <= 64:
+        if len(word) <= LONGEST_KEPT:
             self.young[word] = found
         return found
 

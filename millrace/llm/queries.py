@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, mixing, near_dup, quality
+from millrace.llm import bpe, exact_dedup, language, mixing, near_dup, quality, url_filter
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +27,14 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, VOCABULARY, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_folds(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decide(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -41,11 +49,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_near_dup": op4_near_dup,
     "op6_bpe": op6_bpe,
+    "op7_url_filter": op7_url_filter,
+    "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op7_url_filter": url_filter.SQL,
     "op9_mixing": mixing.SQL,
     "op10_quality": quality.SQL,
 }
