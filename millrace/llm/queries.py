@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, language, mixing, near_dup, quality, url_filter
+from millrace.llm import bpe, exact_dedup, language, mixing, near_dup, quality, url_filter, warc
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_groups(table(spark, sf_dir, "documents"), k=4).withColumnRenamed("id", "doc_id")
 
@@ -47,6 +51,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_warc": op3_warc,
     "op4_near_dup": op4_near_dup,
     "op6_bpe": op6_bpe,
     "op7_url_filter": op7_url_filter,
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op3_warc": warc.SQL,
     "op7_url_filter": url_filter.SQL,
     "op9_mixing": mixing.SQL,
     "op10_quality": quality.SQL,
