@@ -180,6 +180,35 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> Da
     return settle(met.select("a", "b", "ta", "tb").mapInArrow(_confirm(k), "a long, b long").distinct(), "links")
 
 
+def cluster(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components of the links between items that share a key: columns v and label (see ``components``).
+
+    ``members`` has columns key, hub (the key's smallest v), v, n (size, for the ratio that a link needs); ``confirm``
+    gives those of the pairs (a, b) that are links. Every link between two items of a key is found or lies within a component.
+    """
+    stars = members.where("v <> hub").groupBy("hub", "v").count()
+    best = stars.groupBy("v").agg(F.max_by(F.struct("hub"), F.struct("count", -F.col("hub"))).alias("best"))
+    tried = settle(best.select(F.col("best.hub").alias("a"), F.col("v").alias("b")), "tried")
+    labels = components(confirm(tried))
+
+    # Keys whose items lie in several components.
+    named = members.join(labels, "v", "left").select("key", "v", "n", F.coalesce("label", "v").alias("label"))
+    mixed = named.groupBy("key", "label").count().groupBy("key").agg(
+        F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")
+    )
+    mixed = settle(mixed.where("labels > 1").select("key", "main"), "mixed")
+    open_ = settle(named.join(mixed, "key"), "open")
+    # One side leaves out a key's largest component: pairs within it aren't even looked at.
+    minor = open_.where("label <> main").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
+    pairs = minor.join(open_, "key").where(
+        (F.col("lx") != F.col("label")) & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * PERCENT)
+    )
+    pairs = pairs.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
+    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    more = confirm(settle(pairs, "pairs"))
+    return components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(more))
+
+
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -198,30 +227,8 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
 
     # Bands that two classes or more share, each with its smallest class.
     shared = bands.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub < last")
-    shared = settle(shared.select("key", "hub"), "shared")
-    members = settle(bands.join(shared, "key"), "members")
-    stars = members.where("v <> hub").groupBy("hub", "v").count()
-    best = stars.groupBy("v").agg(F.max_by(F.struct("hub"), F.struct("count", -F.col("hub"))).alias("best"))
-    tried = settle(best.select(F.col("best.hub").alias("a"), F.col("v").alias("b")), "tried")
-    links = confirm(tried, classes, docs, k)
-    labels = components(links)
-
-    # Bands whose classes lie in several components.
-    named = members.join(labels, "v", "left").select("key", "v", "n", F.coalesce("label", "v").alias("label"))
-    mixed = named.groupBy("key", "label").count().groupBy("key").agg(
-        F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")
-    )
-    mixed = settle(mixed.where("labels > 1").select("key", "main"), "mixed")
-    open_ = settle(named.join(mixed, "key"), "open")
-    # One side leaves out a band's largest component: pairs within it aren't even looked at.
-    minor = open_.where("label <> main").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    pairs = minor.join(open_, "key").where(
-        (F.col("lx") != F.col("label")) & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * PERCENT)
-    )
-    pairs = pairs.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
-    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = confirm(settle(pairs, "pairs"), classes, docs, k)
-    labels = components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(more))
+    members = settle(bands.join(settle(shared.select("key", "hub"), "shared"), "key"), "members")
+    labels = cluster(members, lambda pairs: confirm(pairs, classes, docs, k))
 
     # Of each class, then of each row. Copies of one text may be very many: the small tables are settled first, so that
     # the joins can be split.

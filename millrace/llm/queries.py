@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, exact_dedup, language, mixing, near_dup, quality, url_filter, warc
+from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, quality, substring, url_filter, warc
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -18,6 +18,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.recover(table(spark, sf_dir, "conversations"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -26,6 +30,10 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_groups(table(spark, sf_dir, "documents"), k=4).withColumnRenamed("id", "doc_id")
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeats(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, VOCABULARY, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
@@ -51,8 +59,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_chat": op2_chat,
     "op3_warc": op3_warc,
     "op4_near_dup": op4_near_dup,
+    "op5_substring": op5_substring,
     "op6_bpe": op6_bpe,
     "op7_url_filter": op7_url_filter,
     "op8_language": op8_language,
