@@ -28,6 +28,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -3,8 +3,8 @@
 Each source has a target, in words. Its rate is target / size: every document is expected that many times. The whole part
 is allocated for certain: so many copies of each document. The fraction is the inclusion probability of one copy more. For
 it, documents are ranked by random odds divided by inclusion odds, U / (1 - U) / (p / (1 - p)), and the first ones are
-taken until their words fill what the whole copies leave of the target. The document at the cut is taken if that comes
-nearer to the target; then the remaining gap, if any, is closed by the one document left over that fits it best.
+taken as long as their words fit into what the whole copies leave of the target. The gap that is left is closed by the one
+document among the others that fits it best.
 
 U comes from the document's id and text length only, so reruns agree. Ranks are counted in two steps (words per source
 and slice of the rank, then the rows of the one slice that holds the cut), so that no task orders a whole source.
@@ -99,8 +99,7 @@ def plan(sized: DataFrame) -> DataFrame:
     near = join_small(ranked, ends, "sid", "inner")
     inside = Window.partitionBy("sid").orderBy("rank", "id", "size")
     within = near.where("slice = end").withColumn("_upto", F.col("before") + F.sum("size").over(inside))
-    # Taken while at least half of the document still fits.
-    taken = within.where("_upto - size / 2 <= room").groupBy("sid").agg(
+    taken = within.where("_upto <= room").groupBy("sid").agg(
         F.max_by(F.struct("rank", "id"), F.struct("rank", "id")).alias("cut"), F.max("_upto").alias("filled")
     )
     cuts = ends.join(taken, "sid", "left").select(
@@ -203,7 +202,7 @@ summed AS (
   SELECT *, CASE WHEN rank IS NOT NULL THEN
            sum(size) FILTER (WHERE rank IS NOT NULL) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST) END AS upto
   FROM odds),
-cut AS (SELECT *, coalesce(upto - size / 2 <= room, FALSE) AS again FROM summed),
+cut AS (SELECT *, coalesce(upto <= room, FALSE) AS again FROM summed),
 gaps AS (SELECT source, any_value(room) - coalesce(sum(size) FILTER (WHERE again), 0) AS gap FROM cut GROUP BY source),
 fit AS (
   SELECT c.source, arg_min(struct_pack(r := c.rank, d := c.doc_id),

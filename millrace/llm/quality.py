@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import GAP, SPACES, WORD, let, word_count, words
+from millrace.llm.common import GAP, SPACES, WORD, free_name, let, word_count, words
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -94,7 +94,8 @@ def line_fails(line: Column, n_words: Column) -> Column:
 
 def judge(docs: DataFrame, text: str = "text", verdict: str = "quality") -> DataFrame:
     """``docs`` with one more column, the struct ``verdict``: n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, lost_words (long), base_failed, kept (boolean) and clean_text (the lines that passed)."""
+    n_repeat_words, lost_words (long), base_failed, kept (boolean) and clean_text (the lines that passed). Name it otherwise
+    if ``docs`` has a column of that name (``free_name``)."""
     body = F.coalesce(F.col("_body"), F.lit(""))
     squeezed = F.col("_body")
     for space in SPACES:
@@ -142,12 +143,12 @@ def clean(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") ->
     ``chars`` names the column with the number of characters of the text, which is set anew where lines went; None: no
     such column.
     """
-    judged = judge(docs, text, "_quality").where("_quality.kept")
-    cut = F.col("_quality.lost_words") > 0
-    changed = {text: F.when(cut, F.col("_quality.clean_text")).otherwise(F.col(text))}
+    name = free_name(docs, "quality")
+    judged = judge(docs, text, name).where(F.col(f"{name}.kept"))
+    cut, shorter = F.col(f"{name}.lost_words") > 0, F.col(f"{name}.clean_text")
+    changed = {text: F.when(cut, shorter).otherwise(F.col(text))}
     if chars is not None and chars in docs.columns:
-        kind = docs.schema[chars].dataType
-        changed[chars] = F.when(cut, F.length("_quality.clean_text").cast(kind)).otherwise(F.col(chars))
+        changed[chars] = F.when(cut, F.length(shorter).cast(docs.schema[chars].dataType)).otherwise(F.col(chars))
     return judged.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -134,7 +134,7 @@ def write_archives(
     capture = F.concat(request, end, F.when(F.col("revisit"), revisit).otherwise(response), end, metadata)
     rows.select(capture.cast("string").alias("value")).write.option("lineSep", END).option(
         "maxRecordsPerFile", FILE_RECORDS
-    ).text(path)
+    ).text(path, compression="gzip")
 
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
