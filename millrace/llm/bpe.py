@@ -229,11 +229,23 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode, then decode what was encoded: id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs, path, pattern, doc_id, text), path, pattern)
-    return both.select(
-        "id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """Encode, then decode what was encoded, in one pass: id, n_tokens, ids_sha256, decoded_sha256."""
+    name, ranks = _shipped(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = codec(name, ranks.value, pattern)
+        for batch in batches:
+            counts, hashes, decoded = [], [], []
+            for text in batch.column(1):
+                ids = one.encode(text.as_py() or "")
+                counts.append(len(ids) // 4)
+                hashes.append(hashlib.sha256(ids).hexdigest())
+                decoded.append(hashlib.sha256(one.decode(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    empty = rows.select("id", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256"))
+    return rows.mapInArrow(run, empty.schema)

@@ -16,8 +16,19 @@ GAP = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+# Rows go to Python workers in batches of about so many bytes: texts are long, and a batch is held several times.
+BATCH_BYTES = 8 * 2**20
+
+
+def settings(spark: SparkSession) -> SparkSession:
+    """Set what the operators rely on and return the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return settings(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -28,9 +28,10 @@ NOISE = r"[#*$%&<>~^]+|!!+"
 NOISE_PERCENT = 30  # of the line's words
 SENTENCE_MARK = r"[.!?…。！？:;]"
 UNMARKED_WORDS = 8  # a line of so many words needs a sentence mark somewhere
+# Site furniture; licence and copyright lines are part of a document and stay.
 BOILERPLATE = (
-    r"(?i)\b(all rights reserved|licensed under|released under|copyright ©|privacy policy|cookie policy|terms of (use|service)"
-    r"|enable javascript|click here|sign (in|up)|log in|subscribe (now|to)|lorem ipsum)\b"
+    r"(?i)\b(privacy policy|cookie policy|terms of (use|service)|enable javascript|click here|sign (in|up)|log in"
+    r"|subscribe (now|to)|lorem ipsum)\b"
 )
 BOILERPLATE_WORDS = 20  # a longer line is prose that mentions the phrase
 MAX_LOST_PERCENT = 40  # of the document's words
