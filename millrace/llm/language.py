@@ -65,9 +65,9 @@ class Model:
     def __init__(self, grams: pd.DataFrame) -> None:
         """``grams`` has columns lang, gram, n."""
         self.langs = sorted(grams["lang"].unique())
-        parts = [(grams["gram"].to_numpy() >> (8 * j)) & 255 for j in range(ORDER + 1)]  # parts[0] follows the context
-        lang = np.searchsorted(self.langs, grams["lang"])
-        n = grams["n"].to_numpy().astype(np.float64)
+        parts = [(grams["gram"].to_numpy(np.int64) >> (8 * j)) & 255 for j in range(ORDER + 1)]  # parts[0] follows the context
+        lang = np.searchsorted(self.langs, grams["lang"]) if len(grams) else np.zeros(0, np.int64)
+        n = grams["n"].to_numpy(np.float64)
         present = np.unique(np.concatenate(parts)) if len(n) else np.zeros(0, np.int64)
         self.symbol = np.zeros(256, np.int32)
         self.symbol[present] = np.arange(1, len(present) + 1)
