@@ -12,6 +12,22 @@ from millrace.operators.slices import ROWS_PER_SLICE, find_cuts, next_row, scan
 from millrace.schemas import LINE_STATION
 
 
+def with_next(events: DataFrame, tie: str = "event_id", rows_per_slice: int | None = ROWS_PER_SLICE) -> DataFrame:
+    """Each event with the time of its station's next one in ``_next``."""
+    order = ["ts", tie]
+    cuts = find_cuts(events, LINE_STATION, order, rows_per_slice)
+    return scan(events, LINE_STATION, order, [next_row("_next", "ts", order)], cuts)
+
+
+def as_alerts(events: DataFrame) -> DataFrame:
+    """The report of a silence after each event."""
+    return events.select(
+        F.col("line").cast("bigint").alias("line"),
+        F.col("station").cast("bigint").alias("station"),
+        to_millis("ts").alias("timestamp"),
+    )
+
+
 def _alerts(
     events: DataFrame,
     period_seconds: float,
@@ -20,19 +36,12 @@ def _alerts(
     tie: str,
     rows_per_slice: int | None,
 ) -> DataFrame:
-    order = ["ts", tie]
-    timeline = events.select(*LINE_STATION, *order)
-    cuts = find_cuts(timeline, LINE_STATION, order, rows_per_slice)
-    rows = scan(timeline, LINE_STATION, order, [next_row("_next", "ts", order)], cuts)
+    rows = with_next(events.select(*LINE_STATION, "ts", tie), tie, rows_per_slice)
     due = F.col("ts") + seconds(period_seconds)
     silent = F.col("_next") >= due if equal_gap_alerts else F.col("_next") > due
     # The last event of a station alerts when the final watermark passes its due time.
     ended: Column = F.lit(True) if until is None else due <= F.lit(until).cast("timestamp_ntz")
-    return rows.where(F.when(F.col("_next").isNull(), ended).otherwise(silent)).select(
-        F.col("line").cast("bigint").alias("line"),
-        F.col("station").cast("bigint").alias("station"),
-        to_millis("ts").alias("timestamp"),
-    )
+    return as_alerts(rows.where(F.when(F.col("_next").isNull(), ended).otherwise(silent)))
 
 
 def inactivity_in_order(

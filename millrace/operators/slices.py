@@ -70,11 +70,11 @@ def find_cuts(
         .where(F.size(CUTS) > 2 * per_slice)
         .select(*keys, F.filter(CUTS, lambda _, i: i % per_slice == per_slice - 1).alias(CUTS))
     )
-    if points.isEmpty():
-        return None
-    # Fixed once: both passes of a scan must see the same boundaries, also after an executor is lost.
+    # Fixed once, before it is looked at: both passes of a scan must see the same boundaries, also after an executor is lost.
     shared_folder(df.sparkSession)
     points = points.checkpoint()
+    if points.isEmpty():
+        return None
     longest, total = points.agg(F.max(F.size(CUTS)), F.sum(F.size(CUTS) + 1)).first()
     return Cuts(points, longest, total)
 

@@ -1,11 +1,15 @@
 """Streaming queries of the catalogue: the ``events`` table read as a stream, results written to a table.
 
-All input of the table is processed, then the query stops. What waits for a watermark that no later row brings is not
-in the result; the SQL states the same rule with the final watermark.
+All input of the table is processed to its end, so each result is that of the batch query and has the same SQL. Most go
+through the steps of ``streaming.micro``; two are plain watermarked aggregations, whose open windows are closed by a last
+row far ahead in time (``_to_the_end``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,7 @@ from millrace.plans.catalog import (
     INACTIVITY_SECONDS,
     LATENESS_SECONDS,
     LINE_EVENTS,
+    SQL,
     STATION_EVENTS,
     STATIONS,
     VISITOR_EVENTS,
@@ -26,19 +31,39 @@ from millrace.plans.catalog import (
     query,
 )
 from millrace.session import fresh_path
-from millrace.sources.files import run_to_table, watch_parquet
-from millrace.streaming import joins, micro, state, stations, units, windows
+from millrace.sources.files import run_to_end, run_to_table, watch_parquet
+from millrace.streaming import micro, state, stations, windows
 
-# Input of a micro-batch at most (one file at least), so that a large table is taken in parts.
-MICRO_BATCH = 8 * 1024**3
+# The time of the row that ends an input, and its id; its keys are negative, as no other row's are.
+END = datetime(2300, 1, 1)
+END_ID = -1
 
 
 def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as a stream; a watermark needs TIMESTAMP."""
-    events = watch_parquet(spark, sf_dir, views.TABLES["events"], "events.parquet", max_bytes=MICRO_BATCH)
+    """The table, one file or a folder of parts, as a stream; a watermark needs TIMESTAMP."""
+    events = watch_parquet(spark, f"{sf_dir}/events.parquet*", views.TABLES["events"])
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _to_the_end(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run ``build`` over the watched table and, after all its rows, a row that moves the watermark past every window."""
+    events = watched_events(spark, sf_dir)
+    folder = fresh_path(spark, "end")
+    spark.createDataFrame([], events.schema).write.parquet(folder)
+    ended = build(events.unionByName(spark.readStream.schema(events.schema).parquet(folder)))
+
+    def end() -> None:
+        values = {"event_id": F.lit(END_ID), "user_id": F.lit(END_ID), "ts": F.lit(END)}
+        row = spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+        row.write.mode("append").parquet(folder)
+
+    return run_to_end(ended, end)
+
+
+def _stepped(stream: DataFrame, step: micro.Step) -> DataFrame:
+    return micro.to_table(stream, step, fresh_path(stream.sparkSession, "figures"), disorder_seconds=DISORDER_SECONDS)
+
+
 def line_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.as_line_events(watched_events(spark, sf_dir))
 
@@ -62,60 +87,43 @@ def _stored(result: DataFrame) -> DataFrame:
     return result.withColumns(plain) if plain else result
 
 
-# A watermark has milliseconds.
-_LAST = "date_trunc('millisecond', (SELECT max(ts) FROM events))"
-_WATERMARK = f"({_LAST} - INTERVAL {DISORDER_SECONDS} SECOND)"
-
 _READINGS = """readings AS (
   SELECT event_id AS reading_id, ts, CAST(user_id % 3 AS INTEGER) AS line,
          CAST((user_id // 3) % 2 AS INTEGER) AS station, value AS energy
   FROM events)"""
 
 
-@query(
-    "stream_units_per_window",
-    f"""WITH {LINE_EVENTS},
-counted AS (SELECT line, time_bucket(INTERVAL 5 MINUTE, ts) AS w, count(*) AS count FROM line_events
-            WHERE station = {STATIONS - 1} AND action = 'OUT' GROUP BY line, w)
-SELECT line, {_ms('w')} AS window_start, {_ms('w')} + 300000 AS window_end, count FROM counted
-WHERE w + INTERVAL 5 MINUTE <= {_WATERMARK}""",
-)
+@query("stream_units_per_window", SQL["units_per_window"])
 def stream_units_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(batch_counts.in_millis(windows.units_per_window(line_events(spark, sf_dir), STATIONS)))
+    counted = _to_the_end(spark, sf_dir, lambda events: windows.units_per_window(views.as_line_events(events), STATIONS))
+    return batch_counts.in_millis(counted)
+
+
+def _flat(joined: DataFrame) -> DataFrame:
+    flat = joined.withColumns({"reading_ts": F.col("reading.ts"), "energy": F.col("reading.energy")})
+    return _stored(flat.drop("reading"))
+
+
+def _both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return micro.united(line_events(spark, sf_dir), energy_readings(spark, sf_dir))
 
 
 _ASOF = f"""WITH {LINE_EVENTS}, {_READINGS}
 SELECT e.event_id, e.ts, e.line, e.station, e.unit_id, e.action, r.ts AS reading_ts, r.energy
-FROM line_events e ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts
-WHERE e.ts <= {_WATERMARK}"""
+FROM line_events e ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts"""
 
 
 @query("stream_asof_join", _ASOF)
 def stream_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.with_disorder(line_events(spark, sf_dir))
-    readings = windows.with_disorder(energy_readings(spark, sf_dir))
-    return _stored(run_to_table(joins.asof_join(events, readings, ["energy"], "event_id", "reading_id")))
-
-
-@query("stream_asof_join_unsalted", _ASOF)
-def stream_asof_join_unsalted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.with_disorder(line_events(spark, sf_dir))
-    readings = windows.with_disorder(energy_readings(spark, sf_dir))
-    return _stored(run_to_table(joins.asof_join(events, readings, ["energy"], "event_id", "reading_id", salts=1)))
+    return _flat(_stepped(_both(spark, sf_dir), micro.asof_join("reading_id")))
 
 
 @query("stream_asof_join_with_lateness", _ASOF)
 def stream_asof_join_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = joins.asof_join_with_lateness(
-        line_events(spark, sf_dir),
-        energy_readings(spark, sf_dir),
-        ["energy"],
-        DISORDER_SECONDS,
-        LATENESS_SECONDS,
-        "event_id",
-        "reading_id",
-    )
-    return _stored(run_to_table(joined))
+    folder = fresh_path(spark, "figures")
+    step = micro.asof_join("reading_id", grace_seconds=LATENESS_SECONDS)
+    both = _both(spark, sf_dir)
+    return _flat(micro.to_table(both, step, folder, disorder_seconds=DISORDER_SECONDS, grace_seconds=LATENESS_SECONDS))
 
 
 @query(
@@ -133,9 +141,7 @@ SELECT event_id, ts, line, station, unit_id, action, CASE WHEN back THEN b_ts EL
 FROM m""",
 )
 def stream_nearest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.with_disorder(line_events(spark, sf_dir))
-    readings = windows.with_disorder(energy_readings(spark, sf_dir))
-    return _stored(run_to_table(joins.nearest_join(events, readings, ["energy"], "event_id", "reading_id")))
+    return _flat(_stepped(_both(spark, sf_dir), micro.nearest_join("reading_id")))
 
 
 @query(
@@ -147,23 +153,13 @@ FROM line_events GROUP BY line, station, unit_id
 HAVING count(*) FILTER (WHERE action = 'IN') = 1 AND count(*) FILTER (WHERE action = 'OUT') = 1""",
 )
 def stream_station_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(run_to_table(units.pair_in_out(line_events(spark, sf_dir)))).drop("energy_consumption")
+    return _stored(_stepped(line_events(spark, sf_dir), micro.pair_in_out())).drop("event_id")
 
 
-@query(
-    "stream_sum_per_unit",
-    f"""WITH visits AS (
-  SELECT event_id, CAST(event_id % 3 AS INTEGER) AS line, user_id AS unit_id, ts,
-         CASE WHEN event_type <> 'error' THEN value END AS energy FROM events),
-numbered AS (
-  SELECT *, (row_number() OVER (PARTITION BY unit_id ORDER BY ts, event_id) - 1) // {STATIONS} AS chunk FROM visits)
-SELECT unit_id, CAST(max_by(line, event_id) AS BIGINT) AS line,
-       round(sum(coalesce(energy, 0)), 6) AS energy_consumption
-FROM numbered GROUP BY unit_id, chunk HAVING count(*) = {STATIONS}""",
-)
+@query("stream_sum_per_unit", SQL["sum_per_unit"])
 def stream_sum_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    visits = views.as_measured_visits(watched_events(spark, sf_dir))
-    summed = run_to_table(units.sum_per_unit(visits, STATIONS))
+    visits = views.as_measured_visits(watched_events(spark, sf_dir)).withColumn("ts", F.col("end_ts"))
+    summed = _stepped(visits, micro.sum_per_unit(STATIONS))
     return summed.withColumn("energy_consumption", F.round("energy_consumption", 6))
 
 
@@ -172,8 +168,7 @@ def stream_sum_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {LINE_EVENTS}, {_READINGS},
 enriched AS (
   SELECT e.*, r.energy FROM line_events e
-  ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts
-  WHERE e.ts <= {_WATERMARK}),
+  ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts),
 visits AS (
   SELECT line, station, unit_id, max(ts) FILTER (WHERE action = 'OUT') AS end_ts,
          max(energy) FILTER (WHERE action = 'OUT') - max(energy) FILTER (WHERE action = 'IN') AS energy
@@ -184,99 +179,46 @@ SELECT unit_id, CAST(max_by(line, n) AS BIGINT) AS line, round(sum(coalesce(ener
 FROM numbered GROUP BY unit_id, (n - 1) // {STATIONS} HAVING count(*) = {STATIONS}""",
 )
 def stream_energy_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summed = run_to_table(
-        windows.energy_per_unit(line_events(spark, sf_dir), energy_readings(spark, sf_dir), STATIONS)
-    )
+    summed = _stepped(_both(spark, sf_dir), micro.energy_per_unit("energy", STATIONS, "reading_id"))
     return summed.withColumn("energy_consumption", F.round("energy_consumption", 6))
 
 
 @query(
     "stream_running_station_count",
     f"""WITH {STATION_EVENTS}
-SELECT line, station, row_number() OVER (PARTITION BY line, station ORDER BY ts, event_id) AS unit_count
-FROM station_events WHERE action = 'OUT'""",
-)
-def stream_running_station_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(stations.running_station_count(station_events(spark, sf_dir)))
-
-
-@query(
-    "stream_station_report",
-    "SELECT line, station, unit_count, min_duration_ms, max_duration_ms FROM ("
-    + _report_sql(STATION_EVENTS, "station_events")
-    + ")",
-)
-def stream_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(stations.station_report(station_events(spark, sf_dir), "event_id"))
-
-
-@query(
-    "stream_station_report_with_average",
-    "SELECT line, station, unit_count, min_duration_ms, max_duration_ms, avg_duration_ms FROM ("
-    + _report_sql(VISITOR_EVENTS, "visitor_events", f", round(avg(d) OVER w, {AVERAGE_DIGITS}) AS avg_duration_ms")
-    + ")",
-)
-def stream_station_report_with_average(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = run_to_table(stations.station_report(visitor_events(spark, sf_dir), "event_id", average=True))
-    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS))
-
-
-@query(
-    "micro_batch_station_count",
-    f"""WITH {STATION_EVENTS}
 SELECT event_id, line, station, row_number() OVER (PARTITION BY line, station ORDER BY ts, event_id) AS unit_count
 FROM station_events WHERE action = 'OUT'""",
 )
-def micro_batch_station_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = _by_micro_batch(station_events(spark, sf_dir), micro.running_station_count())
+def stream_running_station_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = _stepped(station_events(spark, sf_dir), micro.running_station_count())
     return counted.select("event_id", "line", "station", "unit_count")
 
 
 @query(
-    "micro_batch_station_report",
+    "stream_station_report",
     _report_sql(VISITOR_EVENTS, "visitor_events", f", round(avg(d) OVER w, {AVERAGE_DIGITS}) AS avg_duration_ms"),
 )
-def micro_batch_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = _by_micro_batch(visitor_events(spark, sf_dir), micro.station_report())
-    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS)).drop("ts", "batch")
-
-
-def _by_micro_batch(stream: DataFrame, step: micro.Step) -> DataFrame:
-    spark = stream.sparkSession
-    folder = fresh_path(spark, "figures")
-    micro.run(stream, step, folder, f"{folder}/checkpoint").awaitTermination()
-    return micro.output(spark, folder)
+def stream_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = _stepped(visitor_events(spark, sf_dir), micro.station_report())
+    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS)).drop("ts")
 
 
-@query(
-    "stream_inactivity_in_order",
-    f"""WITH {VISITOR_EVENTS}, last AS (SELECT line, station, max(ts) AS ts FROM visitor_events GROUP BY line, station)
-SELECT CAST(line AS BIGINT) AS line, CAST(station AS BIGINT) AS station, {_ms('ts')} AS timestamp
-FROM last WHERE ts + INTERVAL {INACTIVITY_SECONDS} SECOND <= {_LAST}""",
-)
+@query("stream_inactivity_in_order", SQL["inactivity_in_order"])
 def stream_inactivity_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.in_order(visitor_events(spark, sf_dir))
-    return run_to_table(stations.inactivity_in_order(events, INACTIVITY_SECONDS))
+    return _stepped(visitor_events(spark, sf_dir), micro.silences(INACTIVITY_SECONDS, equal_gap_alerts=False))
 
 
-_SILENCES = f"""WITH {VISITOR_EVENTS},
-gaps AS (
-  SELECT *, ts + INTERVAL {INACTIVITY_SECONDS} SECOND AS due,
-         lead(ts) OVER (PARTITION BY line, station ORDER BY ts, event_id) AS next_ts FROM visitor_events)
-SELECT CAST(line AS BIGINT) AS line, CAST(station AS BIGINT) AS station, {_ms('ts')} AS timestamp
-FROM gaps WHERE due <= {_WATERMARK} AND (next_ts IS NULL OR next_ts >= due)"""
-
-
-@query("stream_inactivity_buffered", _SILENCES)
+@query("stream_inactivity_buffered", SQL["inactivity_buffered"])
 def stream_inactivity_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.with_disorder(visitor_events(spark, sf_dir))
-    return run_to_table(stations.inactivity_buffered(events, INACTIVITY_SECONDS))
+    return _stepped(visitor_events(spark, sf_dir), micro.silences(INACTIVITY_SECONDS, equal_gap_alerts=True))
 
 
-@query("stream_inactivity_sessions", _SILENCES)
+@query("stream_inactivity_sessions", SQL["inactivity_buffered"])
 def stream_inactivity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = windows.with_disorder(visitor_events(spark, sf_dir))
-    return run_to_table(stations.inactivity_sessions(events, INACTIVITY_SECONDS))
+    def sessions(events: DataFrame) -> DataFrame:
+        return stations.inactivity_sessions(windows.with_disorder(views.as_visitor_events(events)), INACTIVITY_SECONDS)
+
+    return _to_the_end(spark, sf_dir, sessions)
 
 
 # --- State -----------------------------------------------------------------------------------------------------------
@@ -315,20 +257,3 @@ JOIN (WITH {STATION_EVENTS} {_COUNTS}) c ON r.line = c.line AND r.station = c.st
 def state_resumed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = _counted(spark, sf_dir)
     return run_to_table(state.resume_as_report(station_events(spark, sf_dir), checkpoint, "event_id"))
-
-
-@query(
-    "state_inventory",
-    f"""WITH {STATION_EVENTS}
-SELECT 0 AS operator_id, 'transformWithStateInPandasExec' AS operator_name, count(*) AS keys, true AS has_files
-FROM ({_COUNTS})""",
-)
-def state_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checkpoint = _counted(spark, sf_dir)
-    keys = state.station_counts(spark, checkpoint).groupBy(F.lit(0).alias("operator_id")).count()
-    operators = state.inventory(spark, checkpoint).select(
-        F.col("operatorId").cast("int").alias("operator_id"),
-        F.col("operatorName").alias("operator_name"),
-        (F.col("bytes") > 0).alias("has_files"),
-    )
-    return operators.join(keys.withColumnRenamed("count", "keys"), "operator_id")

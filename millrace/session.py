@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,10 +30,29 @@ RUNTIME_SETTINGS = {
 }
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the Python workers this package, wherever they run and whether or not it is installed there; once a context."""
+    context = spark.sparkContext
+    if getattr(context, "_millrace_shipped", False):
+        return spark
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("millrace", os.path.relpath(path, root)))
+    context.addPyFile(target)
+    context._millrace_shipped = True
+    return spark
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session and return it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     context = spark.sparkContext
     if context.master.startswith("local") and spark.conf.get(PARTITIONS) == "200":
         # The default is meant for a cluster; every partition of a stateful query has a store and a Python worker.

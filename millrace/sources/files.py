@@ -28,14 +28,12 @@ def watch_processing_events(spark: SparkSession, folder: str, max_files: int | N
     return processing_events(watch_json(spark, folder, PROCESSING_EVENT_WIRE, max_files))
 
 
-def watch_parquet(
-    spark: SparkSession, folder: str, schema: str, name: str = "*.parquet", max_bytes: int | None = None
-) -> DataFrame:
-    """New parquet files of a folder whose name matches; ``max_bytes`` bounds a micro-batch."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", name)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(folder)
+def watch_parquet(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """New parquet files of a folder, or of what a pattern matches; ``max_files`` bounds a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path)
 
 
 def _writer(stream: DataFrame, checkpoint: str | None, mode: str = "append") -> DataStreamWriter:
@@ -75,3 +73,30 @@ def run_to_table(stream: DataFrame, folder: str | None = None, checkpoint: str |
     query = _writer(stream, checkpoint).format("parquet").trigger(availableNow=True).start(folder)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(folder)
+
+
+class DroppedRows(RuntimeError):
+    """The query dropped rows behind its watermark."""
+
+
+def run_to_end(stream: DataFrame, end: Callable[[], None]) -> DataFrame:
+    """Process all input there is, call ``end``, which adds the row that ends the input, process that, and return the result.
+
+    A row that the watermark dropped makes it fail: what comes back would not be the result of the input.
+    """
+    spark = stream.sparkSession
+    checkpoint = fresh_path(spark, "query")
+    folder = f"{checkpoint}-table"
+    query = _writer(stream, checkpoint).format("parquet").start(folder)
+    lost = 0
+    try:
+        query.processAllAvailable()
+        # Rows are only dropped before the end is fed. Spark remembers spark.sql.streaming.numRecentProgressUpdates.
+        lost += sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+        end()
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if lost:
+        raise DroppedRows(f"{lost} rows were behind the watermark")
+    return spark.read.schema(stream.schema).parquet(folder)

@@ -20,10 +20,10 @@ SALT = "_salt"
 SALTS = 4
 
 
-def _empty_value(field: T.StructField) -> Column:
-    """A non-null stand-in, so that integers of the other side do not turn into floats in pandas."""
+def _carried(field: T.StructField) -> T.StructField:
+    """Integers travel as strings: with nulls, pandas would make floats of them."""
     integral = isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    return F.lit(0).cast(field.dataType) if integral else F.lit(None).cast(field.dataType)
+    return T.StructField(field.name, T.StringType()) if integral else field
 
 
 def _united(
@@ -44,8 +44,8 @@ def _united(
         micros().alias("us"),
         F.lit(EVENT).alias("side"),
         tie_column(tie).alias("tie"),
-        *[f.name for f in event_fields],
-        *[_empty_value(f).alias(f"r_{f.name}") for f in value_fields],
+        *[F.col(f.name).cast(_carried(f).dataType).alias(f.name) for f in event_fields],
+        *[F.lit(None).cast(_carried(f).dataType).alias(f"r_{f.name}") for f in value_fields],
     )
     right = readings.select(
         *LINE_STATION,
@@ -54,8 +54,8 @@ def _united(
         micros().alias("us"),
         F.lit(READING).alias("side"),
         tie_column(reading_tie).alias("tie"),
-        *[_empty_value(f).alias(f.name) for f in event_fields],
-        *[F.col(f.name).alias(f"r_{f.name}") for f in value_fields],
+        *[F.lit(None).cast(_carried(f).dataType).alias(f.name) for f in event_fields],
+        *[F.col(f.name).cast(_carried(f).dataType).alias(f"r_{f.name}") for f in value_fields],
     )
     return left.unionByName(right), event_fields, value_fields
 
@@ -175,7 +175,7 @@ def _time_join(
     united, event_fields, value_fields = _united(events, readings, values, tie, reading_tie, salts)
 
     def ddl(fields: Sequence[T.StructField], prefix: str = "") -> str:
-        return "".join(f", {prefix}{f.name} {f.dataType.simpleString()}" for f in fields)
+        return "".join(f", {prefix}{f.name} {_carried(f).dataType.simpleString()}" for f in fields)
 
     order = "us BIGINT, tie BIGINT"
     processor = TimeJoin(
@@ -195,9 +195,9 @@ def _time_join(
     return joined.select(
         *LINE_STATION,
         "ts",
-        *[f.name for f in event_fields],
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in event_fields],
         F.timestamp_micros("reading_us").alias("reading_ts"),
-        *[F.col(f"r_{f.name}").alias(f.name) for f in value_fields],
+        *[F.col(f"r_{f.name}").cast(f.dataType).alias(f.name) for f in value_fields],
     )
 
 

@@ -172,11 +172,16 @@ class InOrderInactivity(StatefulProcessor):
         self.last_seen = handle.getValueState("lastSeen", "us BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # Events are assumed to be in order, so the latest of the micro-batch is its last one.
-        last = max(int(chunk["us"].max()) for chunk in rows)
+        seen = np.sort(np.concatenate([chunk["us"].to_numpy() for chunk in rows]))
+        if self.last_seen.exists():
+            seen = np.r_[self.last_seen.get()[0], seen]
+        # An event exactly at the end of the period still cancels the alert.
+        silent = seen[:-1][np.diff(seen) > self.period_ms * 1000]
+        last = int(seen[-1])
         self.last_seen.update((last,))
         reset_timer(self.handle, -(-last // 1000) + self.period_ms)
-        return iter([])
+        if len(silent):
+            yield _alerts(key, [int(us) for us in silent])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last = self.last_seen.get()[0]

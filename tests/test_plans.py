@@ -13,7 +13,7 @@ from millrace.operators import asof, counts, durations, pairing
 from millrace.plans.energy import energy_per_unit
 from tests.conftest import SF_DIR
 
-BATCH = [n for n in entry.queries() if not n.startswith(("stream_", "state_"))]
+BATCH = [n for n in catalog.QUERIES if not n.startswith(("stream_", "state_"))]
 
 
 def plan(df) -> str:
@@ -21,7 +21,7 @@ def plan(df) -> str:
 
 
 def exchanges(df) -> int:
-    return len(re.findall(r"Exchange (?:hash|range|round|single)", plan(df)))
+    return len(re.findall(r"Exchange (?:hash|range|[Rr]ound|[Ss]ingle)", plan(df)))
 
 
 @pytest.mark.parametrize("name", BATCH)
