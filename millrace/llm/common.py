@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import fresh_path
+from millrace.session import fresh_path, ship
 
 # A word is a run of characters other than these six (space and U+0009 to U+000D).
 SPACES = " \t\n\x0b\x0c\r"
@@ -24,7 +24,7 @@ def settings(spark: SparkSession) -> SparkSession:
     """Set what the operators rely on and return the session."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    return spark
+    return ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
