@@ -49,6 +49,16 @@ def fan_out(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return expect_then_set(parent, column, "foo", "bar"), expect_then_set(parent, column, "foo", "baz")
 
 
+def fan_out_tagged(df: DataFrame, column: str, key: str) -> DataFrame:
+    """The two branches as tagged rows of one pass: each row's value is set from its key, goes to both branches, and is
+    replaced there by the branch's name once it is found unchanged."""
+    value = F.concat(F.lit("foo "), F.col(key).cast("string"))
+    both = df.withColumn(column, value).withColumn("_branch", F.explode(F.array(F.lit("bar"), F.lit("baz"))))
+    message = F.concat(F.lit(f"{column} should be set, is "), F.coalesce(column, F.lit("null")))
+    seen = F.when(F.col(column).eqNullSafe(value), F.col("_branch")).otherwise(F.raise_error(message))
+    return both.withColumn(column, seen).drop("_branch")
+
+
 def pass_through(df: DataFrame) -> DataFrame:
     return df.select("*")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.records import decode_json, encode_json, energy, temperature
@@ -367,8 +367,7 @@ def emit_twice_and_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT event_id, unnest(['bar', 'baz']) AS event_type FROM events",
 )
 def fan_out_two_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bar, baz = rows.fan_out(views.table(spark, sf_dir, "events").select("event_id", "event_type"), "event_type")
-    return bar.unionByName(baz)
+    return rows.fan_out_tagged(views.table(spark, sf_dir, "events").select("event_id", "event_type"), "event_type", "event_id")
 
 
 @query("pass_through", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -404,6 +403,24 @@ def keyed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.keyed_steps(part, steps).drop("p_name", "p_brand", "p_type")
 
 
+@query(
+    "keyed_window_steps",
+    f"""SELECT event_id, user_id, row_number() OVER w AS n, {_ms('ts')} - {_ms('coalesce(lag(ts) OVER w, ts)')} AS gap_ms,
+       max(value) OVER w AS highest
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+)
+def keyed_window_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three steps that each need the key, on one exchange."""
+    by_user = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    steps = [
+        lambda df: df.withColumn("n", F.row_number().over(by_user).cast("bigint")),
+        lambda df: df.withColumn("gap_ms", to_millis("ts") - to_millis(F.coalesce(F.lag("ts").over(by_user), "ts"))),
+        lambda df: df.withColumn("highest", F.max("value").over(by_user)),
+    ]
+    events = views.table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return rows.keyed_steps(events, steps).drop("ts", "value")
+
+
 # --- Functions -------------------------------------------------------------------------------------------------------
 
 

@@ -8,9 +8,8 @@ from datetime import timedelta
 import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import functions as F
 
-from millrace.plans import catalog, streams, views
+from millrace.plans import catalog, streams
 from millrace.sources import files
 from millrace.streaming import micro
 from tests.conftest import SF_DIR, at
@@ -134,18 +133,3 @@ def test_no_input(spark, tmp_path):
     pq.write_table(pq.read_table(f"{SF_DIR}/events.parquet").slice(0, 0), (tmp_path / "events.parquet"))
     for name in ("stream_asof_join", "stream_running_station_count", "stream_units_per_window"):
         assert catalog.QUERIES[name](spark, str(tmp_path)).count() == 0
-
-
-def test_one_busy_station_is_met_by_several_tasks(spark):
-    events = views.station_events(spark, SF_DIR).withColumns({"line": F.lit(0), "station": F.lit(0)})
-    counted, _ = micro.running_station_count(rows_per_slice=100).apply(events, None, None)
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        tasks = counted.groupBy(F.spark_partition_id()).agg(F.max("unit_count")).count()
-        assert tasks > 1
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "2")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-
-

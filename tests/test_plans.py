@@ -44,6 +44,11 @@ def test_exchanges(spark):
     assert exchanges(energy_per_unit(line, meter, 2)) == 3 + of_meter
 
 
+def test_steps_on_one_key_share_an_exchange(spark):
+    assert exchanges(catalog.QUERIES["keyed_window_steps"](spark, SF_DIR)) == 1
+    assert plan(catalog.QUERIES["fan_out_two_branches"](spark, SF_DIR)).count("FileScan") == 1
+
+
 def test_row_queries_do_not_shuffle(spark):
     for name in ("finished_units", "out_events", "emit_twice_and_double", "keyed_steps", "letters_and_digits",
                  "sensor_values", "json_round_trip"):
