@@ -1,9 +1,9 @@
 """Near-duplicate documents by HyperMinHash.
 
-1. A document's shingles are hashed and thrown into ``BUCKETS`` buckets; of each bucket's least hash a 16-bit register
-   keeps the number of leading zeros and the ten bits behind the leading one. Buckets that stay empty after a few throws
-   take the least of a hash of their own over all shingles. Two registers are equal with the Jaccard similarity as
-   probability, whatever the sizes (plus rare collisions of compressed values).
+1. A document's shingles are hashed and thrown into ``WIDE`` buckets, again and again while one is empty; of each bucket's
+   least hash in the first throw that hits it a 16-bit register holds the number of leading zeros and the ten bits behind
+   the leading one. Two registers are equal with the Jaccard similarity as probability, whatever the sizes (plus rare
+   collisions of compressed values). The first ``BUCKETS`` registers are kept whole, of all others the last bit.
 2. Documents with the same words are one class, found by shuffling digests. One row per class goes on.
 3. Bands of ``ROWS`` registers: classes that share a band may be linked. A pair at 0.8 shares none of 64 bands with a
    probability of 4e-9.
@@ -25,19 +25,24 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import join_small, settle
 from millrace.llm.components import components
 
 ROWS, BANDS = 6, 64
-BUCKETS = ROWS * BANDS
+BUCKETS = ROWS * BANDS  # whose registers are kept whole, for bands and estimates
+WIDE = 2048  # buckets of which one bit is kept
 MANTISSA = 10
-THROWS = 6
+THROWS = 63
 PERCENT = 80  # links have at least this similarity
 # Six standard deviations of the estimate of a pair at the threshold.
 LEAST_ESTIMATE = PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / BUCKETS) ** 0.5
+# The last mantissa bits of two sets differ in half of the registers that differ. At the threshold that is a tenth of them;
+# six standard deviations more are let through.
+_DIFFER = (1 - PERCENT / 100) / 2
+MOST_BITS = int(WIDE * _DIFFER + 6 * (WIDE * _DIFFER * (1 - _DIFFER)) ** 0.5)
 
 NONE = np.uint64(2**64 - 1)
 
@@ -49,7 +54,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SEEDS = _mix(np.arange(1, BUCKETS + 1, dtype=np.uint64))
+_SEEDS = _mix(np.arange(1, WIDE + 1, dtype=np.uint64))
 _THROW_SEEDS = _mix(np.arange(10_001, 10_001 + THROWS, dtype=np.uint64))
 
 
@@ -71,21 +76,25 @@ def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """The compressed registers of a set of hashes that isn't empty."""
-    least = np.full(BUCKETS, NONE)
-    empty = np.arange(BUCKETS)
-    for seed in _THROW_SEEDS:
-        thrown = _mix(hashes ^ seed)
-        at = ((thrown >> np.uint64(32)) * np.uint64(BUCKETS)) >> np.uint64(32)
-        now = np.full(BUCKETS, NONE)
-        np.minimum.at(now, at.astype(np.int64), _mix(thrown))
-        least[empty] = now[empty]
+    """The ``WIDE`` compressed registers of a set of hashes that isn't empty.
+
+    A bucket takes its value from the first throw that hits it: the throw's number stands above the hash, so that the
+    least number is the least hash of that throw. Once all buckets are hit, further throws change nothing.
+    """
+    least = np.full(WIDE, NONE)
+    step = max(1, 8192 // len(hashes))
+    for begin in range(0, THROWS, step):
+        throws = np.arange(begin, min(begin + step, THROWS), dtype=np.uint64)
+        thrown = _mix(hashes[None, :] ^ _THROW_SEEDS[throws.astype(np.int64)][:, None])
+        at = ((thrown >> np.uint64(32)) * np.uint64(WIDE)) >> np.uint64(32)
+        values = (_mix(thrown) >> np.uint64(6)) | (throws << np.uint64(58))[:, None]
+        np.minimum.at(least, at.astype(np.int64).ravel(), values.ravel())
         empty = np.flatnonzero(least == NONE)
         if not len(empty):
             break
     for some in np.array_split(empty, 1 + len(empty) * len(hashes) // 1_000_000) if len(empty) else ():
-        least[some] = _mix(hashes[None, :] ^ _SEEDS[some][:, None]).min(axis=1)
-    top = least >> np.uint64(11)  # 53 bits, exact as doubles
+        least[some] = _mix(hashes[None, :] ^ _SEEDS[some][:, None]).min(axis=1) >> np.uint64(6)
+    top = (least & np.uint64(2**58 - 1)) >> np.uint64(5)  # 53 bits, exact as doubles
     zeros = (53 - np.frexp(top.astype(np.float64))[1]).astype(np.uint64)
     mantissa = ((top << zeros) >> np.uint64(52 - MANTISSA)) & np.uint64(2**MANTISSA - 1)
     return ((zeros << np.uint64(MANTISSA)) | mantissa).astype("<u2")
@@ -96,7 +105,7 @@ def _collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     zeros = np.arange(54)[:, None]
 
     def in_band(size: np.ndarray) -> np.ndarray:
-        load = np.maximum(size / BUCKETS, 1)
+        load = np.maximum(size / WIDE, 1)
         return (1 - 2.0 ** -(zeros + 1)) ** load - (1 - 2.0**-zeros) ** load
 
     return (in_band(n) * in_band(m)).sum(axis=0) / 2**MANTISSA
@@ -113,16 +122,24 @@ def _sign(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
-                digests, sizes, signs = [], [], []
+                digests, sizes, signs, bits = [], [], [], []
                 for text in part.column(1).to_pylist():
                     words = words_of(text)
                     hashes = shingle_hashes(words, k)
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     sizes.append(len(hashes))
-                    signs.append(registers(hashes).tobytes() if words else None)
+                    kept = registers(hashes) if words else None
+                    signs.append(None if kept is None else kept[:BUCKETS].tobytes())
+                    bits.append(None if kept is None else np.packbits(kept.astype(np.uint8) & 1).view(np.int64).tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signs, pa.binary())],
-                    ["id", "digest", "n", "signature"],
+                    [
+                        part.column(0),
+                        pa.array(digests, pa.binary()),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(signs, pa.binary()),
+                        pa.array(bits, pa.list_(pa.int64())),
+                    ],
+                    ["id", "digest", "n", "signature", "bits"],
                 )
 
     return run
@@ -180,11 +197,18 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> Da
     return settle(met.select("a", "b", "ta", "tb").mapInArrow(_confirm(k), "a long, b long").distinct(), "links")
 
 
-def cluster(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def different_bits(one: Column, other: Column) -> Column:
+    return sum((F.bit_count(one[i].bitwiseXOR(other[i])) for i in range(1, WIDE // 64)), F.bit_count(one[0].bitwiseXOR(other[0])))
+
+
+def cluster(
+    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], sketch: DataFrame | None = None
+) -> DataFrame:
     """Components of the links between items that share a key: columns v and label (see ``components``).
 
     ``members`` has columns key, hub (the key's smallest v), v, n (size, for the ratio that a link needs); ``confirm``
     gives those of the pairs (a, b) that are links. Every link between two items of a key is found or lies within a component.
+    ``sketch`` (v, bits) lets the second round leave out, where two items meet, pairs that are far from a link.
     """
     stars = members.where("v <> hub").groupBy("hub", "v").count()
     best = stars.groupBy("v").agg(F.max_by(F.struct("hub"), F.struct("count", -F.col("hub"))).alias("best"))
@@ -197,27 +221,40 @@ def cluster(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> Da
         F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")
     )
     mixed = settle(mixed.where("labels > 1").select("key", "main"), "mixed")
-    open_ = settle(named.join(mixed, "key"), "open")
+    open_ = named.join(mixed, "key")
+    open_ = settle(open_ if sketch is None else open_.join(sketch, "v"), "open")
     # One side leaves out a key's largest component: pairs within it aren't even looked at.
-    minor = open_.where("label <> main").select("key", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    pairs = minor.join(open_, "key").where(
-        (F.col("lx") != F.col("label")) & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * PERCENT)
-    )
-    pairs = pairs.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
-    pairs = pairs.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = confirm(settle(pairs, "pairs"))
+    here = {"v": "x", "n": "nx", "label": "lx", **({} if sketch is None else {"bits": "bx"})}
+    minor = open_.where("label <> main").select("key", *[F.col(c).alias(name) for c, name in here.items()])
+    may = (F.col("lx") != F.col("label")) & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * PERCENT)
+    if sketch is not None:
+        may = may & (different_bits(F.col("bx"), F.col("bits")) <= MOST_BITS)
+    pairs = minor.join(open_, "key").where(may)
+    far = F.lit(0) if sketch is None else different_bits(F.col("bx"), F.col("bits"))
+    pairs = settle(pairs.select("x", "lx", "v", "label", far.alias("far")).distinct(), "pairs")
+    # Of each item and other component the most alike pair first; most items need no other.
+    first = pairs.groupBy("x", "label").agg(F.min_by("v", F.struct("far", "v")).alias("b"))
+    first = settle(first.select(F.col("x").alias("a"), "b"), "first")
+    labels = components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(confirm(first)))
+    now = labels.withColumnRenamed("label", "now")
+    rest = pairs.select("x", "v").join(now.select(F.col("v").alias("x"), F.col("now").alias("nx")), "x", "left").join(now, "v", "left")
+    rest = rest.where(F.coalesce("nx", "x") != F.coalesce("now", "v"))
+    rest = rest.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
+    for done in (tried, first):
+        rest = rest.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
+    more = confirm(settle(rest, "rest"))
     return components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(more))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = settle(docs.mapInArrow(_sign(k), "id long, digest binary, n long, signature binary"), "signed")
+    signed = settle(docs.mapInArrow(_sign(k), "id long, digest binary, n long, signature binary, bits array<long>"), "signed")
 
     first = Window.partitionBy("digest").orderBy("id")
     present = signed.where("id IS NOT NULL AND n > 0")
     classes = present.withColumn("_r", F.row_number().over(first)).where("_r = 1")
-    classes = settle(classes.select(F.col("id").alias("v"), "n", "signature"), "classes")
+    classes = settle(classes.select(F.col("id").alias("v"), "n", "signature", "bits"), "classes")
 
     width = 2 * ROWS
     band = F.transform(
@@ -228,7 +265,7 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     # Bands that two classes or more share, each with its smallest class.
     shared = bands.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub < last")
     members = settle(bands.join(settle(shared.select("key", "hub"), "shared"), "key"), "members")
-    labels = cluster(members, lambda pairs: confirm(pairs, classes, docs, k))
+    labels = cluster(members, lambda pairs: confirm(pairs, classes, docs, k), classes.select("v", "bits").dropDuplicates(["v"]))
 
     # Of each class, then of each row. Copies of one text may be very many: the small tables are settled first, so that
     # the joins can be split.
