@@ -10,8 +10,6 @@ PROCESSING_EVENT = "ts TIMESTAMP, line INT, station INT, unit_id BIGINT, action
 
 READING = "STRUCT<type: STRING, value: DOUBLE, unit: STRING>"
 
-SENSOR_READINGS = f"ts TIMESTAMP, line INT, station INT, readings MAP<STRING, {READING}>"
-
 STATION_PROCESSING_EVENT = (
     "line INT, station INT, unit_id BIGINT, start_ts TIMESTAMP, end_ts TIMESTAMP, energy_consumption DOUBLE"
 )
@@ -20,8 +18,6 @@ UNIT_SUMMARY = "unit_id BIGINT, line BIGINT, energy_consumption DOUBLE"
 
 STATISTICS = "line INT, window_start BIGINT, window_end BIGINT, count BIGINT"
 
-STATISTICS_AVRO = "line INT, window_start TIMESTAMP, window_end TIMESTAMP, count BIGINT"
-
 INACTIVITY_ALERT = "line BIGINT, station BIGINT, timestamp BIGINT"
 
 STATION_COUNT = "line INT, station INT, unit_count BIGINT"
@@ -40,21 +36,21 @@ NESTED_EVENT = (
     "nested ARRAY<STRUCT<string1: STRING, string2: STRING, long1: BIGINT>>, bool1 BOOLEAN, bool2 BOOLEAN"
 )
 
-# Avro form of the two records that travel through a schema registry.
+# The Avro records in which events and window counts travel, with their names on the wire.
 PROCESSING_EVENT_AVRO = """{
   "type": "record", "name": "ProcessingEvent", "fields": [
-    {"name": "ts", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    {"name": "timestamp", "type": {"type": "long", "logicalType": "timestamp-millis"}},
     {"name": "line", "type": "int"},
     {"name": "station", "type": "int"},
-    {"name": "unit_id", "type": "long"},
+    {"name": "unitId", "type": "long"},
     {"name": "action", "type": {"type": "enum", "name": "Action", "symbols": ["IN", "OUT"]}}
   ]}"""
 
 STATISTICS_AVRO_SCHEMA = """{
   "type": "record", "name": "Statistics", "fields": [
     {"name": "line", "type": "int"},
-    {"name": "window_start", "type": {"type": "long", "logicalType": "timestamp-millis"}},
-    {"name": "window_end", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    {"name": "windowStart", "type": {"type": "long", "logicalType": "timestamp-millis"}},
+    {"name": "windowEnd", "type": {"type": "long", "logicalType": "timestamp-millis"}},
     {"name": "count", "type": "long"}
   ]}"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -59,21 +59,17 @@ def copy_topic(
     return write_topic(wire.encode_generic_events(events), servers, target, checkpoint)
 
 
-def registry_subject(topic: str) -> str:
-    """The subject under which a registry keeps a topic's value schema."""
-    return f"{topic}-value"
-
-
-def decode_avro(messages: DataFrame, schema: str = schemas.PROCESSING_EVENT_AVRO) -> DataFrame:
-    """Records from Avro values (needs the spark-avro package on the cluster)."""
+def decode_avro(messages: DataFrame) -> DataFrame:
+    """Processing events from Avro values (needs the spark-avro package on the cluster)."""
     from pyspark.sql.avro.functions import from_avro
 
-    return messages.select(from_avro(F.col("value"), schema).alias("record")).select("record.*")
+    record = from_avro(F.col("value"), schemas.PROCESSING_EVENT_AVRO).alias("record")
+    return wire.events_from_avro(messages.select(record).select("record.*"))
 
 
-def encode_avro(records: DataFrame, schema: str = schemas.STATISTICS_AVRO_SCHEMA) -> DataFrame:
-    """Avro values from records (needs the spark-avro package on the cluster)."""
+def encode_avro(statistics: DataFrame) -> DataFrame:
+    """Avro values from window counts (needs the spark-avro package on the cluster)."""
     from pyspark.sql.avro.functions import to_avro
 
-    record: Column = F.struct("*")
-    return records.select(to_avro(record, schema).alias("value"))
+    record = F.struct(*wire.statistics_to_avro(statistics).columns)
+    return wire.statistics_to_avro(statistics).select(to_avro(record, schemas.STATISTICS_AVRO_SCHEMA).alias("value"))

@@ -27,6 +27,18 @@ def processing_events(parsed: DataFrame) -> DataFrame:
     )
 
 
+def events_from_avro(record: DataFrame) -> DataFrame:
+    """Columns of the data model from an Avro record's."""
+    return record.select(F.col("timestamp").alias("ts"), "line", "station", F.col("unitId").alias("unit_id"), "action")
+
+
+def statistics_to_avro(statistics: DataFrame) -> DataFrame:
+    """An Avro record's columns from window counts with timestamps."""
+    return statistics.select(
+        "line", F.col("window_start").alias("windowStart"), F.col("window_end").alias("windowEnd"), "count"
+    )
+
+
 def generic_events(parsed: DataFrame) -> DataFrame:
     return parsed.select(
         "id",
