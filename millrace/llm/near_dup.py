@@ -8,8 +8,8 @@
 3. Bands of ``ROWS`` registers: classes that share a band may be linked. A pair at 0.8 shares none of 64 bands with a
    probability of 4e-9.
 4. Of a band's classes not all pairs are formed. Each class is first paired with the smallest class it shares most bands
-   with. Pairs whose collision-corrected estimate is too low go; the rest are confirmed on the whole texts. Connected
-   components follow, and bands whose classes all lie in one component are done. In the others, classes of different
+   with. Pairs whose estimate, corrected for chance collisions of registers, is too low go; the rest are confirmed on the
+   whole texts. Connected components follow, and bands whose classes all lie in one component are done. In the others, classes of different
    components are paired: no possible link between components is left out.
 5. Components of all confirmed links; the smallest doc_id names each.
 
@@ -181,14 +181,18 @@ def _confirm(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
     return run
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are links. Estimates come first; then the whole texts of what is left meet."""
+def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose registers make a link possible."""
     signed = classes.select(F.col("v").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
     with_b = pairs.join(signed, "b").join(
         signed.select(F.col("b").alias("a"), F.col("nb").alias("na"), F.col("sb").alias("sa")), "a"
     )
     sized = with_b.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    close = settle(sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_close, "a long, b long"), "close")
+    return settle(sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_close, "a long, b long"), "close")
+
+
+def confirm(close: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """Those of the pairs (a, b) that are links: their whole texts meet."""
     ids = settle(close.select(F.col("a").alias("id")).union(close.select("b")).distinct(), "ids")
     texts = settle(join_small(docs, ids, "id", "left_semi").select("id", "text"), "texts")
     met = close.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(
@@ -202,18 +206,18 @@ def different_bits(one: Column, other: Column) -> Column:
 
 
 def cluster(
-    members: DataFrame, confirm: Callable[[DataFrame], DataFrame], sketch: DataFrame | None = None
+    members: DataFrame, confirm: Callable[[DataFrame, bool], DataFrame], sketch: DataFrame | None = None
 ) -> DataFrame:
     """Components of the links between items that share a key: columns v and label (see ``components``).
 
     ``members`` has columns key, hub (the key's smallest v), v, n (size, for the ratio that a link needs); ``confirm``
-    gives those of the pairs (a, b) that are links. Every link between two items of a key is found or lies within a component.
-    ``sketch`` (v, bits) lets the second round leave out, where two items meet, pairs that are far from a link.
+    gives those of the pairs (a, b) that are links, and is told whether the sketch has let them pass. Every link between two
+    items of a key is found or lies within a component. ``sketch`` (v, bits) lets the second round leave out, where two items meet, pairs that are far from a link.
     """
     stars = members.where("v <> hub").groupBy("hub", "v").count()
     best = stars.groupBy("v").agg(F.max_by(F.struct("hub"), F.struct("count", -F.col("hub"))).alias("best"))
     tried = settle(best.select(F.col("best.hub").alias("a"), F.col("v").alias("b")), "tried")
-    labels = components(confirm(tried))
+    labels = components(confirm(tried, False))
 
     # Keys whose items lie in several components.
     named = members.join(labels, "v", "left").select("key", "v", "n", F.coalesce("label", "v").alias("label"))
@@ -235,14 +239,14 @@ def cluster(
     # Of each item and other component the most alike pair first; most items need no other.
     first = pairs.groupBy("x", "label").agg(F.min_by("v", F.struct("far", "v")).alias("b"))
     first = settle(first.select(F.col("x").alias("a"), "b"), "first")
-    labels = components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(confirm(first)))
+    labels = components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(confirm(first, sketch is not None)))
     now = labels.withColumnRenamed("label", "now")
     rest = pairs.select("x", "v").join(now.select(F.col("v").alias("x"), F.col("now").alias("nx")), "x", "left").join(now, "v", "left")
     rest = rest.where(F.coalesce("nx", "x") != F.coalesce("now", "v"))
     rest = rest.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
     for done in (tried, first):
         rest = rest.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-    more = confirm(settle(rest, "rest"))
+    more = confirm(settle(rest, "rest"), sketch is not None)
     return components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(more))
 
 
@@ -265,7 +269,12 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k:
     # Bands that two classes or more share, each with its smallest class.
     shared = bands.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub < last")
     members = settle(bands.join(settle(shared.select("key", "hub"), "shared"), "key"), "members")
-    labels = cluster(members, lambda pairs: confirm(pairs, classes, docs, k), classes.select("v", "bits").dropDuplicates(["v"]))
+    # The bits estimate more closely than the registers kept whole, so pairs that passed them go straight to the texts.
+    labels = cluster(
+        members,
+        lambda pairs, told: confirm(pairs if told else estimated(pairs, classes), docs, k),
+        classes.select("v", "bits").dropDuplicates(["v"]),
+    )
 
     # Of each class, then of each row. Copies of one text may be very many: the small tables are settled first, so that
     # the joins can be split.
