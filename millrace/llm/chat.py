@@ -10,6 +10,11 @@ end; matrices of ``FAN`` neighbours are combined, level by level, until every tr
 learns the states at its two ends on the best path, and finds the states between. The result is that of one pass over the
 whole transcript, up to ties between paths of equal probability.
 
+Turns are rendered whole, across blocks: each block tells where its last turn begins and how much of it there is, the
+same levels carry that on to later blocks, and so each line knows its turn and how many characters of it come before. A
+turn of more than ``PART`` characters comes in numbered parts: a line belongs to the part in which it begins, counted from the
+turn's first line, wherever blocks are cut.
+
 Defined results: a null or blank line is a line without marker that continues a turn; null ids are one transcript; lines
 that repeat an order key follow each other in the order of their text; roles that the labels don't hold are not found;
 without labelled turns every line is a turn of ``user``. A transcript without lines, and a table without rows, gives none.
@@ -32,6 +37,7 @@ ROLES = ("assistant", "system", "user")
 STATES = [(role, begins) for role in ROLES for begins in (True, False)]
 BLOCK_BITS, FAN_BITS = 8, 6
 BLOCK, FAN = 1 << BLOCK_BITS, 1 << FAN_BITS
+PART = 1 << 20  # characters
 
 # Names that speakers go by.
 SPEAKERS = {
@@ -188,9 +194,9 @@ def _over(rows: DataFrame, schema: str, function, *columns: str) -> DataFrame:
 
 def turns(lines: DataFrame, chain: Chain) -> DataFrame:
     """``lines`` has columns conv (long), order (anything that can be compared) and line. One row per recovered turn, or
-    part of it within a block: conv, order (of its first line), role, begins, n_lines and rendered.
+    part of ``PART`` characters of it: conv, order (of its first line), role, part (from 0), begins, n_lines and rendered.
 
-    A turn that goes on over a block's end comes in several rows, of which only the first begins.
+    Only a turn's first part begins, and has the role's mark; its parts, joined by line breaks, are the turn.
     """
     blocks = _blocks(lines.select("conv", "order", "line"))
     size = len(STATES)
@@ -227,29 +233,84 @@ def turns(lines: DataFrame, chain: Chain) -> DataFrame:
     shape = "conv long, block long, before long, last long"
     known = _over(levels[-1], shape, top, "conv", "block", "m")
     for grouped in reversed(groups):
-        met = _with_ends(grouped, known)
+        met = _with_ends(grouped, known, "before", "last")
         known = settle(_over(met, shape, ends, "conv", "block", "parts", "before", "last"), "ends")
 
-    def render(conv, lines, first, before, last):
+    # Of each block: where its last turn begins, if one does, and the characters from there (or from the block's first line)
+    # to the block's end. A later block without a beginning adds to what came before.
+    def told(conv, block, lines, first, before, last):
         states = chain.path([symbol(x["line"]) for x in lines], first, before, last)
-        begin = 0
-        for i in range(1, len(lines) + 1):
-            if i == len(lines) or STATES[states[i]][1]:
-                role, begins = STATES[states[begin]]
-                text = [x["line"] or "" for x in lines[begin:i]]
-                if begins:
-                    text[0] = marker(text[0])[1]
-                    text.insert(0, f"<|{role}|>")
-                yield conv, lines[begin]["order"], role, begins, i - begin, "\n".join(text)
-                begin = i
+        begins = [i for i, s in enumerate(states) if STATES[s][1]]
+        since = begins[-1] if begins else 0
+        yield conv, block, lines[since]["at"] if begins else None, sum(len(x["line"] or "") + 1 for x in lines[since:]), states
+
+    def after(turn, size, part):
+        return (turn, size + part["size"]) if part["turn"] is None else (part["turn"], part["size"])
+
+    def total(conv, block, parts):
+        turn, size = None, 0
+        for part in parts:
+            turn, size = after(turn, size, part)
+        yield conv, block, turn, size
+
+    def carried(conv, block, parts, turn, size):
+        for part in parts:
+            yield conv, part["block"], turn, size
+            turn, size = after(turn, size, part)
+
+    met = _with_ends(blocks, known, "before", "last")
+    shape = "conv long, block long, turn long, size long"
+    seen = settle(_over(met, f"{shape}, states array<int>", told, "conv", "block", "lines", "first", "before", "last"), "told")
+    level, groups = seen.drop("states"), []
+    for _ in levels[1:]:
+        grouped = level.groupBy("conv", F.shiftright("block", FAN_BITS).alias("block")).agg(
+            F.array_sort(F.collect_list(F.struct("block", "turn", "size"))).alias("parts")
+        )
+        groups.append(settle(grouped, "groups"))
+        level = settle(_over(groups[-1], shape, total, "conv", "block", "parts"), "told")
+    carry = level.select("conv", "block", F.lit(None).cast("long").alias("turn"), F.lit(0).cast("long").alias("size"))
+    for grouped in reversed(groups):
+        carry = settle(_over(_with_ends(grouped, carry, "turn", "size"), shape, carried, "conv", "block", "parts", "turn", "size"), "carried")
+
+    def pieces(conv, lines, states, turn, size):
+        begin, part = 0, None
+        for i, x in enumerate(lines):
+            if STATES[states[i]][1]:
+                starts, turn, size = True, x["at"], 0
+            else:
+                starts = False
+            if starts or size // PART != part:
+                if i > begin:
+                    yield piece(conv, lines[begin:i], states[begin], held, part)
+                begin, held, part = i, turn, size // PART
+            size += len(x["line"] or "") + 1
+        yield piece(conv, lines[begin:], states[begin], held, part)
+
+    def piece(conv, lines, state, turn, part):
+        role, begins = STATES[state]
+        text = [x["line"] or "" for x in lines]
+        if begins:
+            text[0] = marker(text[0])[1]
+            text.insert(0, f"<|{role}|>")
+        return conv, turn, part, lines[0]["at"], lines[0]["order"], role, begins, len(lines), "\n".join(text)
 
     kind = lines.schema["order"].dataType.simpleString()
-    out = f"conv long, order {kind}, role string, begins boolean, n_lines long, rendered string"
-    return _over(_with_ends(blocks, known), out, render, "conv", "lines", "first", "before", "last")
+    out = f"conv long, turn long, part long, at long, order {kind}, role string, begins boolean, n long, text string"
+    whole = _with_ends(_with_ends(blocks, seen, "states"), carry, "turn", "size")
+    cut = _over(whole, out, pieces, "conv", "lines", "states", "turn", "size")
+    parts = cut.groupBy("conv", "turn", "part").agg(
+        F.array_sort(F.collect_list(F.struct("at", "order", "role", "begins", "n", "text"))).alias("p")
+    )
+    return parts.select(
+        "conv", F.col("p")[0]["order"].alias("order"), F.col("p")[0]["role"].alias("role"), "part",
+        F.col("p")[0]["begins"].alias("begins"),
+        F.aggregate("p", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("n_lines"),
+        F.array_join(F.col("p")["text"], "\n").alias("rendered"),
+    )
 
 
-def _with_ends(blocks: DataFrame, known: DataFrame) -> DataFrame:
-    named = known.select(F.col("conv").alias("c"), F.col("block").alias("b"), "before", "last")
+def _with_ends(blocks: DataFrame, known: DataFrame, *columns: str) -> DataFrame:
+    named = known.select(F.col("conv").alias("c"), F.col("block").alias("b"), *columns)
     return blocks.join(named, F.col("conv").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
 
 
@@ -283,6 +344,6 @@ def recover(conversations: DataFrame) -> DataFrame:
     order = F.struct(F.col("turn"), F.col("i").cast("long").alias("i"))
     found = turns(lines.select("conv", order.alias("order"), "line"), chain)
     return found.select(
-        F.col("conv").alias("conv_id"), F.col("order.turn").alias("turn"), F.col("order.i").alias("line"), "role", "begins",
-        "n_lines", "rendered",
+        F.col("conv").alias("conv_id"), F.col("order.turn").alias("turn"), F.col("order.i").alias("line"), "role", "part",
+        "begins", "n_lines", "rendered",
     )

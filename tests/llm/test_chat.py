@@ -89,3 +89,38 @@ def test_odd_rows(spark):
     assert {r["conv_id"] for r in got} == {None, 1, 2, 3}
     assert sum(r["n_lines"] for r in got) == sum(len((t or "").split("\n")) for _, _, _, t in rows)
     assert chat.recover(table.limit(0)).count() == 0
+
+
+def test_turns_are_whole(spark, conversations, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_BITS", 2)
+    monkeypatch.setattr(chat, "FAN_BITS", 1)
+    monkeypatch.setattr(chat, "PART", 200, raising=False)
+    chain = chat.fit(chat.transcript_lines(conversations))
+    texts = {5: ["User: why?", *[f"line {i} of a long turn" for i in range(70)], "Assistant: so", "and so", None, "User: x"], None: ["User: a"] * 9}
+    rows = [(c, i, line) for c, lines in texts.items() for i, line in enumerate(lines)]
+    lines = spark.createDataFrame(rows, "conv long, order long, line string")
+    results, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (1, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        got = chat.turns(lines.repartition(n), chain).orderBy("conv", "order").collect()
+        results.append(got)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    for c, written in texts.items():
+        whole = {}
+        for r in results[0]:
+            if r["conv"] == c:
+                assert r["begins"] == (r["part"] == 0) == r["rendered"].startswith("<|")
+                if r["begins"]:
+                    whole[r["order"]] = []
+                whole[max(whole)].append(r)
+        expected = segments(chain, written)
+        assert [(p[0]["role"], at, sum(r["n_lines"] for r in p)) for at, p in whole.items()] == expected
+        for role, at, n in expected:
+            rest = [x or "" for x in written[at : at + n]]
+            assert "\n".join(r["rendered"] for r in whole[at]) == "\n".join([f"<|{role}|>", chat.marker(rest[0])[1], *rest[1:]])
+            chars, sizes = 0, {}
+            for line in rest:
+                sizes[chars // 200] = sizes.get(chars // 200, 0) + 1
+                chars += len(line) + 1
+            assert [(r["part"], r["n_lines"]) for r in whole[at]] == list(sizes.items())
