@@ -3,6 +3,10 @@
 Each line is judged by itself: lines that fail are taken out, and a document that loses too much of its text with them is
 rejected. Two base rules on the whole text come before (too few words, too many repeated five-word windows).
 
+The verdicts that ``judge`` gives by default are those of the SQL below. ``clean`` judges with ``whole=True``, which loses fewer
+clean lines: sentence marks of all scripts count, lines of hard-wrapped prose are asked for a mark together, and noise has a
+least count, without the mark of a heading or list item.
+
 Defined results: null text counts as empty; an empty text has no words, fails the base rules and is not kept; rows are
 judged one by one, so repeated rows give equal results; extra columns are not looked at; a table without rows gives none.
 Nothing is shuffled, so neither a large source nor a group of copies matters.
@@ -28,6 +32,19 @@ NOISE = r"[#*$%&<>~^]+|!!+"
 NOISE_PERCENT = 30  # of the line's words
 SENTENCE_MARK = r"[.!?…。！？:;]"
 UNMARKED_WORDS = 8  # a line of so many words needs a sentence mark somewhere
+# Where ``whole``: the sentence terminals of Unicode, and marks that are used like those above.
+ANY_MARK = (
+    r"[.!?…:;\u055C\u055E\u0589\u061B\u061D-\u061F\u06D4\u0700-\u0702\u07F9\u0837\u0839\u083D\u083E\u0964\u0965\u0F0D\u0F0E"
+    r"\u104A\u104B\u1362\u1365-\u1368\u166E\u1735\u1736\u17D4-\u17D6\u1803\u1809\u1944\u1945\u1AA8-\u1AAB\u1B5A\u1B5B\u1B5E"
+    r"\u1B5F\u1C3B\u1C3C\u1C7E\u1C7F\u203C\u203D\u2047-\u2049\u2E2E\u2E3C\u2E53\u2E54\u3002\uA4FF\uA60E\uA60F\uA6F3\uA6F7"
+    r"\uA876\uA877\uA8CE\uA8CF\uA92F\uA9C8\uA9C9\uAA5D-\uAA5F\uAAF0\uAAF1\uABEB\uFE52\uFE56\uFE57\uFF01\uFF0E\uFF1A\uFF1B"
+    r"\uFF1F\uFF61]"
+)
+NO_MARKS = r"[\p{IsThai}\p{IsLao}]"  # scripts that write sentences without marks
+SENTENCE_END = ANY_MARK + r"[\p{Pe}\p{Pf}\"'*_\s]*$"
+GOES_ON = r"^\s*[\p{Pi}\p{Ps}\"']*[\p{Ll}\p{Lo}]"  # a line that begins so goes on with the sentence before
+LEADING_MARK = r"^\s*(#{1,6}|\*)\s+"  # of a heading or a list item
+MIN_NOISE = 3
 # Site furniture; licence and copyright lines are part of a document and stay.
 BOILERPLATE = (
     r"(?i)\b(privacy policy|cookie policy|terms of (use|service)|enable javascript|click here|sign (in|up)|log in"
@@ -93,10 +110,44 @@ def line_fails(line: Column, n_words: Column) -> Column:
     return navigation | noise | unmarked | boilerplate
 
 
-def judge(docs: DataFrame, text: str = "text", verdict: str = "quality") -> DataFrame:
+def whole_line_fails(line: Column, n_words: Column, marked: Column) -> Column:
+    """``line_fails`` where a line is ``marked`` if the lines that its sentences stand in hold a sentence mark."""
+    separators = F.regexp_count(line, F.lit(SEPARATORS))
+    navigation = (separators >= MIN_SEPARATORS) & (separators * 100 >= n_words * SEPARATORS_PERCENT)
+    tokens = F.regexp_count(F.regexp_replace(line, LEADING_MARK, ""), F.lit(NOISE))
+    noise = (tokens >= MIN_NOISE) & (tokens * 100 >= n_words * NOISE_PERCENT)
+    unmarked = (n_words >= UNMARKED_WORDS) & ~marked & ~line.rlike(NO_MARKS)
+    boilerplate = (n_words <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE)
+    return navigation | noise | unmarked | boilerplate
+
+
+def wrapped(lines: Column) -> Column:
+    """Lines grouped to arrays: a line goes on in the next one if it doesn't end a sentence and the next begins like the
+    middle of one, or its first word had no room on the line (no neighbour is longer than both together)."""
+
+    def goes_on(ls: Column, i: Column) -> Column:
+        line, then = F.get(ls, i), F.get(ls, i + 1)
+        first = F.regexp_extract(then, f"^[ \t]*({WORD})", 1)
+        sizes = [F.coalesce(F.length(F.get(ls, i + k)), F.lit(0)) for k in (-1, 0, 1, 2)]
+        full = F.length(line) + 1 + F.length(first) > F.greatest(*sizes)
+        both = line.rlike(WORD) & then.rlike(WORD)
+        return F.coalesce(both & ~line.rlike(SENTENCE_END) & (then.rlike(GOES_ON) | full), F.lit(False))
+
+    def group(ls: Column) -> Column:
+        # No line holds a line break, so these signs tell lines and groups apart.
+        signed = F.transform(
+            ls, lambda line, i: F.concat(F.when((i > 0) & goes_on(ls, i - 1), "\n+").otherwise("\n-"), line)
+        )
+        groups = F.split(F.substring(F.array_join(signed, ""), 3, 2**31 - 1), "\n-")
+        return F.transform(groups, lambda g: F.split(g, r"\n\+"))
+
+    return let(lines, group)
+
+
+def judge(docs: DataFrame, text: str = "text", verdict: str = "quality", whole: bool = False) -> DataFrame:
     """``docs`` with one more column, the struct ``verdict``: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, lost_words (long), base_failed, kept (boolean) and clean_text (the lines that passed). Name it otherwise
-    if ``docs`` has a column of that name (``free_name``)."""
+    if ``docs`` has a column of that name (``free_name``). ``whole``: by the rules that lose fewer clean lines."""
     body = F.coalesce(F.col("_body"), F.lit(""))
     squeezed = F.col("_body")
     for space in SPACES:
@@ -108,12 +159,22 @@ def judge(docs: DataFrame, text: str = "text", verdict: str = "quality") -> Data
             n, lambda k: F.struct(line.alias("l"), k.alias("n"), F.when(k > 0, line_fails(line, k)).otherwise(False).alias("f"))
         )
 
+    def one_group(lines: Column) -> Column:
+        marked = F.exists(lines, lambda x: x.rlike(ANY_MARK))
+        return let(marked, lambda m: F.transform(lines, lambda line: whole_line(line, m)))
+
+    def whole_line(line: Column, marked: Column) -> Column:
+        fails = lambda k: F.when(k > 0, whole_line_fails(line, k, marked)).otherwise(False)
+        return let(word_count(line), lambda k: F.struct(line.alias("l"), k.alias("n"), fails(k).alias("f")))
+
+    parts = F.split("_body", "\n")
+    judged_lines = F.flatten(F.transform(wrapped(parts), one_group)) if whole else F.transform(parts, one_line)
     packed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_body"))
     split = packed.select(
         "_row",
         "_body",
         words(F.col("_body")).alias("_words"),
-        F.transform(F.split("_body", "\n"), one_line).alias("_lines"),
+        judged_lines.alias("_lines"),
     )
     spoken = F.transform(F.filter("_lines", lambda x: x["n"] > 0), lambda x: x["l"])
     measured = split.select(
@@ -145,7 +206,7 @@ def clean(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") ->
     such column.
     """
     name = free_name(docs, "quality")
-    judged = judge(docs, text, name).where(F.col(f"{name}.kept"))
+    judged = judge(docs, text, name, whole=True).where(F.col(f"{name}.kept"))
     cut, shorter = F.col(f"{name}.lost_words") > 0, F.col(f"{name}.clean_text")
     changed = {text: F.when(cut, shorter).otherwise(F.col(text))}
     if chars is not None and chars in docs.columns:

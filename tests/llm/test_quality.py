@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -92,3 +93,39 @@ def test_clean_keeps_columns(odd, documents):
     assert out.columns == odd.columns and out.schema == odd.schema
     changed = quality.clean(documents).where(F.length("text") != F.col("n_chars"))
     assert changed.count() == documents.where(F.length("text") != F.col("n_chars")).count()
+
+
+def cleaned(spark, *texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    return {r["i"]: r["text"] for r in quality.clean(rows).collect()}
+
+
+def test_clean_documents_stay_whole(spark):
+    others = [
+        "यह एक वाक्य है जिसमें बहुत से शब्द आते हैं और फिर वह यहाँ समाप्त होता है।",
+        "یہ ایک جملہ ہے جس میں بہت سے الفاظ ہیں اور پھر وہ یہاں ختم ہوتا ہے۔",
+        "هل هذه جملة فيها كلمات كثيرة جدا ثم تنتهي هنا في آخر السطر الطويل؟",
+        "սա մի նախադասություն է որի մեջ շատ բառեր կան և հետո այն ավարտվում է այստեղ։",
+        "ይህ ብዙ ቃላት ያሉት አንድ ዓረፍተ ነገር ነው ከዚያም እዚህ ጋር በደንብ ያበቃል።",
+        "នេះ ជា ប្រយោគ មួយ ដែល មាន ពាក្យ ច្រើន ហើយ វា ចប់ នៅ ទីនេះ។",
+        "ဒါ က စကားလုံး များစွာ ပါ သော ဝါကျ တစ်ခု ဖြစ်ပြီး ဒီမှာ ဆုံး ပါ တယ်။",
+        "นี่ คือ ประโยค ที่ มี คำ มากมาย และ จบ ลง ที่ นี่ อย่าง ดี",
+    ]
+    wrapped = textwrap.fill(
+        "Der Zug fuhr am frühen Morgen aus dem Bahnhof der Stadt und nahm nach einer Weile den Weg durch das Tal hinauf zu "
+        "den Bergen wo der Schnee noch lag und niemand auf die Reisenden wartete die alle müde waren.",
+        50,
+    )
+    marks = f"# Introduction\n* buy milk\nR&D budget\n50% growth\n{GOOD}\nSome different words stand in this line, for once."
+    texts = [*others, wrapped, marks, wrapped + "\n\n" + GOOD]
+    assert cleaned(spark, *texts) == dict(enumerate(texts))
+
+
+def test_bad_lines_still_go(spark):
+    other = "Some different words stand in this line, for once, and there are quite a few of them."
+    bad = [
+        "Home | About | News | Contact | Login", "Buy%%% now$$$ and*** here### it&&& is!!",
+        "menu entries without any mark at all in the line", "Read our privacy policy.",
+    ]
+    got = cleaned(spark, *[f"{GOOD}\n{b}\n{other}" for b in bad], "x\n+y\n-z\n\n" + GOOD)
+    assert got == {**{i: f"{GOOD}\n{other}" for i in range(len(bad))}, len(bad): "x\n+y\n-z\n\n" + GOOD}
