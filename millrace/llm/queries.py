@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, quality, substring, url_filter, warc
+from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, packing, quality, substring, url_filter, warc
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"quality.{name}") for name in fields])
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+    return packing.digests(packed).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat": op2_chat,
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
+    "op11_packing": op11_packing,
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
