@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, packing, quality, substring, url_filter, warc
+from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, packing, prefix_trie, quality, substring, url_filter, warc
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +63,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packed).withColumnRenamed("id", "doc_id")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_chat": op2_chat,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op11_packing": op11_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
@@ -82,4 +87,5 @@ SQL: dict[str, str] = {
     "op7_url_filter": url_filter.SQL,
     "op9_mixing": mixing.SQL,
     "op10_quality": quality.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
 }
