@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, exact_dedup, language, mixing, near_dup, packing, prefix_trie, quality, substring, url_filter, warc
+from millrace.llm import (
+    bpe,
+    chat,
+    exact_dedup,
+    hard_negatives,
+    language,
+    mixing,
+    near_dup,
+    packing,
+    prefix_trie,
+    quality,
+    substring,
+    url_filter,
+    warc,
+)
 from millrace.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,6 +77,12 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packed).withColumnRenamed("id", "doc_id")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integers(table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(prefix_trie.rebuilt(prefix_trie.turns(table(spark, sf_dir, "conversations"))))
 
@@ -79,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality": op10_quality,
     "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_prefix_trie": op13_prefix_trie,
 }
 SQL: dict[str, str] = {
@@ -87,5 +108,6 @@ SQL: dict[str, str] = {
     "op7_url_filter": url_filter.SQL,
     "op9_mixing": mixing.SQL,
     "op10_quality": quality.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
 }
