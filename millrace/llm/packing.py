@@ -22,6 +22,7 @@ tokens are ordinary text.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
@@ -38,10 +39,11 @@ OPEN_BINS = 1024
 # Sequences of different tasks are numbered apart.
 TASK_BITS = 33
 
-KEPT = 2**18
+KEPT = 2**19
 LONGEST_KEPT = 64
 TOGETHER = 10_000
-MARKS = b".,;:!?"
+# ASCII marks, but for the apostrophe, which may begin an ending.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS = 500
 
 PIECE = "piece int, start long, length long, ids binary, sequence_id long, offset long"
@@ -84,41 +86,60 @@ class Packer:
         return sequence, self.size - free
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write each byte: printable ones as themselves, the others as U+0100 and on in their order."""
+    itself = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in itself]
+    return {b: chr(b) for b in itself} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Words:
     """Token ids of whole texts, as little-endian unsigned 32-bit integers.
 
-    For tokenizers that drop blanks, ignore case and part runs of letters from other characters; others are refused.
+    For byte-level tokenizers that drop blanks, ignore case and part runs of letters from other characters; others are
+    refused.
     """
 
     def __init__(self, tokenizer: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        probe = "Probing, it's\n\tA  text of 12 words!? (ONE.) abc. de"
-        if self.encode([probe]) != [self._ids(probe).tobytes()]:
+        probe = "Probing, it's\n\tA  text of 12 words!? (ONE.) abc### Écoutez ÇA, où? de"
+        if self.encode([probe]) != [self._ids(probe)]:
             raise ValueError("a tokenizer for which words between blanks are independent is needed")
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: Iterable[bytes]) -> None:
-        """Put the words' ids into ``young``. Those that were not met lately are tokenized together, a blank between."""
-        ended, unknown = [], set()
+        """Put the words' ids into ``young``. Those that were not met lately are tokenized."""
+        young, old = self.young, self.old
+        others = []
         for word in words:
-            ids = self.old.get(word)
-            if ids is not None:
-                self.young[word] = ids
-                continue
-            # Many words differ only in their case or in the marks behind them.
-            letters = word.rstrip(MARKS)
-            if letters.isalpha() and len(word) <= LONGEST_KEPT:  # of bytes: A-Z and a-z only
-                parts = (letters.lower(), word[len(letters) :])
-                ended.append((word, *parts))
-                unknown.update(p for p in parts if p not in self.young)
-            else:
-                unknown.add(word)
-        left = iter(unknown)
+            ids = old.get(word)
+            if ids is None:
+                # Many words differ only in their case or in the marks behind them. Letters below U+0250 are their own
+                # normal form; the model takes a run of them as it is.
+                letters = word.rstrip(MARKS)
+                run = letters.decode().lower()
+                if len(word) > LONGEST_KEPT or not (run.isalpha() and max(run) < "\u0250"):
+                    others.append(word)
+                    continue
+                key = run.encode()
+                ids = young.get(key) or old.get(key)
+                if ids is None:
+                    written = run if run.isascii() else key.decode("latin-1").translate(self.letters)
+                    ids = young[key] = array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
+                marks = word[len(letters) :]
+                if marks:
+                    if marks not in young:
+                        young[marks] = self._ids(marks.decode())
+                    ids += young[marks]
+            young[word] = ids
+        left = iter(others)
         while some := list(islice(left, TOGETHER)):
             texts = [word.decode() for word in some]
             begins = np.cumsum([0, *[len(text) + 1 for text in texts]])
@@ -126,9 +147,7 @@ class Words:
             ids = np.array(found.ids, "<u4").tobytes()
             starts = np.array(found.offsets, np.int64).reshape(-1, 2)[:, 0]
             ends = (4 * np.searchsorted(starts, begins)).tolist()
-            self.young.update((word, ids[a:b]) for word, a, b in zip(some, ends, ends[1:], strict=False))
-        for word, letters, marks in ended:
-            self.young[word] = self.young[letters] + self.young[marks]
+            young.update((word, ids[a:b]) for word, a, b in zip(some, ends, ends[1:], strict=False))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.young) >= KEPT:
