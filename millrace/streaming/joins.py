@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.asof import EVENT, READING
 from millrace.schemas import LINE_STATION
+from millrace.streaming.buckets import BUCKET_SECONDS, Buckets
 from millrace.streaming.stations import reset_timer, micros, tie_column
 
 SALT = "_salt"
@@ -60,20 +61,22 @@ def _united(
     return left.unionByName(right), event_fields, value_fields
 
 
-def _frame(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=columns)
-
-
-def _tuples(frame: pd.DataFrame) -> list[tuple]:
-    plain = frame.astype(object).where(frame.notna(), None)
-    return list(plain.itertuples(index=False, name=None))
+BACKWARD, NEAREST, ARRIVED = "backward", "nearest", "arrived"
 
 
 class TimeJoin(StatefulProcessor):
     """Keeps the readings of a station, matches its events, and prunes what no later event can match.
 
-    ``direction`` is that of ``pandas.merge_asof``. A backward join holds an event until the watermark reaches it; a
-    nearest join answers at once from the readings that have arrived, as the next one may lie any time ahead.
+    Both sides lie in event-time buckets (see ``Buckets``). An event waits until its answer is certain, and one timer per
+    key waits for the earliest:
+
+    - ``backward``: when the watermark reaches the event, all readings at or before it have arrived.
+    - ``nearest``: with L the latest reading at or before the watermark w, no later row can come between two times up to w,
+      so events before L are certain; for the others L is the nearest from behind, and certain once w is as far ahead of the
+      event as L is behind. Both together: events up to (w + L) / 2.
+    - ``arrived``: answered at once from the readings that have arrived.
+
+    Of the readings the newest bucket with one at or before the watermark stays, and all later ones.
 
     The stream's watermark delay includes ``lateness_ms``: the on-time boundary is the watermark plus the lateness.
     Events at or behind the boundary are matched at once, those at or behind the watermark itself are dropped where
@@ -81,96 +84,109 @@ class TimeJoin(StatefulProcessor):
     """
 
     def __init__(
-        self, event_columns: list[str], value_columns: list[str], event_state: str, reading_state: str,
-        direction: str, lateness_ms: int | None,
+        self, event_state: str, reading_state: str, mode: str, lateness_ms: int | None, bucket_seconds: float
     ) -> None:
-        self.event_columns = ["us", "tie", *event_columns]
-        self.reading_columns = ["us", "tie", *value_columns]
         self.event_state = event_state
         self.reading_state = reading_state
-        self.direction = direction
+        self.mode = mode
         self.lateness_ms = lateness_ms
+        self.width_us = int(bucket_seconds * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.readings = handle.getListState("readings", self.reading_state)
-        self.events = handle.getListState("events", self.event_state)
+        self.readings = Buckets(handle, "readings", self.reading_state, self.width_us)
+        self.events = Buckets(handle, "events", self.event_state, self.width_us)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        arrived = pd.concat(list(rows))
-        new_events = arrived.loc[arrived["side"] == EVENT, self.event_columns]
-        new_readings = arrived.loc[arrived["side"] == READING, self.reading_columns]
-        return self._advance(key, watermark, new_events, new_readings)
+        self._load()
+        at_once = []
+        for chunk in rows:
+            self.readings.add(chunk.loc[chunk["side"] == READING, self.readings.columns])
+            events = chunk.loc[chunk["side"] == EVENT, self.events.columns]
+            if self.lateness_ms is not None:
+                events = events[events["us"] > watermark]
+            if self.mode == ARRIVED:
+                at_once.append(events)
+            else:
+                self.events.add(events)
+        for events in at_once:
+            yield from self._matched(key, events)
+        yield from self._advance(key, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000, None, None)
-
-    def _advance(
-        self, key, watermark: int, new_events: pd.DataFrame | None, new_readings: pd.DataFrame | None
-    ) -> Iterator[pd.DataFrame]:
-        boundary = watermark + (self.lateness_ms or 0) * 1000
-        held_events = _frame(list(self.events.get()), self.event_columns) if self.events.exists() else None
-        held_readings = _frame(list(self.readings.get()), self.reading_columns) if self.readings.exists() else None
-
-        if new_events is not None and self.lateness_ms is not None:
-            new_events = new_events[new_events["us"] > watermark]
-        events = _concat(held_events, new_events, self.event_columns)
-        readings = _concat(held_readings, new_readings, self.reading_columns).sort_values(["us", "tie"])
-
-        ready = events["us"] <= boundary if self.direction == "backward" else events["us"].notna()
-        out = self._match(key, events[ready].sort_values(["us", "tie"]), readings)
-
-        waiting = events[~ready]
-        if len(waiting):
-            if held_events is None or ready.any() or (new_events is not None and len(new_events)):
-                self.events.put(_tuples(waiting))
-        elif held_events is not None:
-            self.events.clear()
-
-        # Newer than the watermark, and the latest one at or before it.
-        kept = readings.iloc[max(int((readings["us"] <= watermark).sum()) - 1, 0) :]
-        if len(kept) != (0 if held_readings is None else len(held_readings)) or (
-            new_readings is not None and len(new_readings)
-        ):
-            self.readings.put(_tuples(kept))
-
-        # The event is due when the boundary reaches it; later prunings ride on events and readings that arrive.
-        due = int(waiting["us"].min()) - (self.lateness_ms or 0) * 1000 if len(waiting) else None
+        self._load()
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def _load(self) -> None:
+        self.readings.load()
+        self.events.load()
+
+    def _advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+        lateness = (self.lateness_ms or 0) * 1000
+        certain = watermark + lateness
+        if self.mode == NEAREST:
+            latest = self.readings.latest(watermark)
+            certain = None if latest is None else (watermark + latest) // 2
+        if certain is not None:
+            for events in self.events.take(certain):
+                yield from self._matched(key, events)
+        self.readings.forget(watermark)
+
+        due = self.events.first()
+        if due is not None and self.mode == NEAREST and due <= watermark:
+            # The event waits for a reading ahead of it, or until none can be nearer than the one behind it.
+            ahead = self.readings.next(watermark)
+            due = min((t for t in (ahead, None if latest is None else 2 * due - latest) if t is not None), default=None)
+        elif due is not None:
+            due -= lateness
         reset_timer(self.handle, None if due is None else max(-(-due // 1000), 0))
-        if len(out):
-            yield out
-
-    def _match(self, key, events: pd.DataFrame, readings: pd.DataFrame) -> pd.DataFrame:
-        right = readings.drop(columns="tie").assign(reading_us=readings["us"].astype("Int64"))
-        matched = pd.merge_asof(events, right, on="us", direction=self.direction)
-        if self.direction == "nearest":
-            matched = matched[matched["reading_us"].notna()]
-        out = matched.drop(columns=["us", "tie"])
+        self.readings.save()
+        self.events.save()
+
+    def _matched(self, key, events: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        if not len(events):
+            return
+        events = events.sort_values(["us", "tie"])
+        us = events["us"].to_numpy(dtype="int64")
+        readings = self.readings.around(int(us[0]), int(us[-1])).sort_values(["us", "tie"])
+        times = readings["us"].to_numpy(dtype="int64")
+        at = np.searchsorted(times, us, side="right") - 1
+        if self.mode != BACKWARD:
+            ahead = np.searchsorted(times, us, side="right")
+            # Of readings of one instant the last counts behind an event, the first ahead of it.
+            there = ahead < len(times)
+            nearer = there & ((at < 0) | (times.take(ahead, mode="clip") - us < us - times.take(at, mode="clip"))) if len(times) else there
+            at = np.where(nearer, ahead, at)
+            events, us, at = events[at >= 0], us[at >= 0], at[at >= 0]
+            if not len(events):
+                return
+        # Position -1, no reading, gives a row of nulls.
+        found = readings.reset_index(drop=True).reindex(at)
+        out = events.drop(columns=["us", "tie"]).reset_index(drop=True)
         out.insert(0, "line", key[0])
         out.insert(1, "station", key[1])
-        out.insert(2, "ts", pd.to_datetime(matched["us"], unit="us"))
-        return out
+        out.insert(2, "ts", pd.to_datetime(us, unit="us"))
+        for column in self.readings.columns:
+            if column not in ("us", "tie"):
+                out[column] = found[column].to_numpy()
+        out["reading_us"] = pd.array(found["us"].to_numpy(), dtype="Int64")
+        yield out
 
     def close(self) -> None:
         pass
 
 
-def _concat(held: pd.DataFrame | None, new: pd.DataFrame | None, columns: list[str]) -> pd.DataFrame:
-    parts = [p for p in (held, new) if p is not None and len(p)]
-    frame = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=columns)
-    return frame.astype({"us": "int64", "tie": "int64"})
-
-
 def _time_join(
     events: DataFrame,
     readings: DataFrame,
     values: Sequence[str],
-    direction: str,
+    mode: str,
     lateness_seconds: float | None,
     tie: str | None,
     reading_tie: str | None,
     salts: int,
+    bucket_seconds: float,
 ) -> DataFrame:
     united, event_fields, value_fields = _united(events, readings, values, tie, reading_tie, salts)
 
@@ -179,12 +195,11 @@ def _time_join(
 
     order = "us BIGINT, tie BIGINT"
     processor = TimeJoin(
-        [f.name for f in event_fields],
-        [f"r_{f.name}" for f in value_fields],
         order + ddl(event_fields),
         order + ddl(value_fields, "r_"),
-        direction,
+        mode,
         None if lateness_seconds is None else int(lateness_seconds * 1000),
+        bucket_seconds,
     )
     output = (
         "line INT, station INT, ts TIMESTAMP" + ddl(event_fields) + ddl(value_fields, "r_") + ", reading_us BIGINT"
@@ -208,12 +223,14 @@ def asof_join(
     tie: str | None = None,
     reading_tie: str | None = None,
     salts: int = SALTS,
+    bucket_seconds: float = BUCKET_SECONDS,
 ) -> DataFrame:
     """Each event, once the watermark reaches it, with the latest reading at or before it (nulls if none).
 
-    Both streams need a watermark on ``ts``; the join goes by the lower of the two.
+    Both streams need a watermark on ``ts``; the join goes by the lower of the two. ``bucket_seconds`` is the width of the
+    buckets that rows wait in: some hundred rows of a station and sub-key are a good size.
     """
-    return _time_join(events, readings, values, "backward", None, tie, reading_tie, salts)
+    return _time_join(events, readings, values, BACKWARD, None, tie, reading_tie, salts, bucket_seconds)
 
 
 def asof_join_with_lateness(
@@ -225,6 +242,7 @@ def asof_join_with_lateness(
     tie: str | None = None,
     reading_tie: str | None = None,
     salts: int = SALTS,
+    bucket_seconds: float = BUCKET_SECONDS,
 ) -> DataFrame:
     """The as-of join with a grace period: an event up to ``lateness`` behind the on-time boundary is still matched.
 
@@ -235,11 +253,12 @@ def asof_join_with_lateness(
         events.withWatermark("ts", delay),
         readings.withWatermark("ts", delay),
         values,
-        "backward",
+        BACKWARD,
         lateness_seconds,
         tie,
         reading_tie,
         salts,
+        bucket_seconds,
     )
 
 
@@ -250,12 +269,17 @@ def nearest_join(
     tie: str | None = None,
     reading_tie: str | None = None,
     salts: int = SALTS,
+    bucket_seconds: float = BUCKET_SECONDS,
+    certain: bool = False,
 ) -> DataFrame:
-    """Each event with the nearest reading that arrived in its micro-batch or before, and ``time_delta_ms``.
+    """Each event with its nearest reading, and ``time_delta_ms``. Both streams need a watermark on ``ts``.
 
-    Of two equally close readings the earlier one wins; an event whose station has no reading yet gives no row.
-    Readings older than the latest one behind the watermark are dropped from the state.
+    The event is answered at once, from the readings that arrived in its micro-batch or before, or, if ``certain``, when no
+    later reading can be nearer: then the result doesn't depend on how the input is cut. Of two equally close readings the
+    earlier one wins; an event without a reading gives no row. Readings older than the latest one behind the watermark are
+    dropped from the state.
     """
-    joined = _time_join(events, readings, values, "nearest", None, tie, reading_tie, salts)
+    mode = NEAREST if certain else ARRIVED
+    joined = _time_join(events, readings, values, mode, None, tie, reading_tie, salts, bucket_seconds)
     delta = F.abs(F.unix_millis("ts") - F.unix_millis("reading_ts"))
     return joined.withColumn("time_delta_ms", delta)
