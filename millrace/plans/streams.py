@@ -1,14 +1,14 @@
 """Streaming queries of the catalogue: the ``events`` table read as a stream, results written to a table.
 
-All input of the table is processed to its end, so each result is that of the batch query and has the same SQL. Most go
-through the steps of ``streaming.micro``; two are plain watermarked aggregations, whose open windows are closed by a last
-row far ahead in time (``_to_the_end``).
+All input of the table is processed to its end, so each result is that of the batch query and has the same SQL. Joins,
+visits, inactivity and windows are single streaming queries; what waits for the watermark is settled by a last row far ahead
+in time (``_to_the_end``). Running counts, reports and sums go through the steps of ``streaming.micro``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,6 @@ from millrace.plans.catalog import (
     AVERAGE_DIGITS,
     DISORDER_SECONDS,
     INACTIVITY_SECONDS,
-    LATENESS_SECONDS,
     LINE_EVENTS,
     SQL,
     STATION_EVENTS,
@@ -31,12 +30,13 @@ from millrace.plans.catalog import (
     query,
 )
 from millrace.session import fresh_path
-from millrace.sources.files import run_to_end, run_to_table, watch_parquet
-from millrace.streaming import micro, state, stations, windows
+from millrace.sources.files import run_fed, run_to_end, run_to_table, watch_parquet
+from millrace.streaming import joins, micro, state, stations, windows
 
-# The time of the row that ends an input, and its id; its keys are negative, as no other row's are.
-END = datetime(2300, 1, 1)
+# The id of the row that ends an input. As a reading or a visitor it has negative keys, as no other row has.
 END_ID = -1
+# Rows of a station wait in buckets of a day: the tables hold some events an hour.
+BUCKET_SECONDS = 86_400
 
 
 def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,19 +45,36 @@ def watched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _to_the_end(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Run ``build`` over the watched table and, after all its rows, a row that moves the watermark past every window."""
-    events = watched_events(spark, sf_dir)
-    folder = fresh_path(spark, "end")
-    spark.createDataFrame([], events.schema).write.parquet(folder)
-    ended = build(events.unionByName(spark.readStream.schema(events.schema).parquet(folder)))
-
-    def end() -> None:
-        values = {"event_id": F.lit(END_ID), "user_id": F.lit(END_ID), "ts": F.lit(END)}
-        row = spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema])
+def _end(events: DataFrame) -> datetime:
+    """A time by which everything in the table is settled: as far behind the last row as that is behind the first, and more."""
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    return datetime(2000, 1, 1) if last is None else last + (last - first) + timedelta(days=7)
+
+
+def _input(spark: SparkSession) -> tuple[str, DataFrame]:
+    """An empty folder for events, and the stream of what is put into it."""
+    folder = fresh_path(spark, "input")
+    spark.createDataFrame([], views.TABLES["events"]).write.parquet(folder)
+    added = spark.readStream.schema(views.TABLES["events"]).parquet(folder)
+    return folder, added.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _end_row(spark: SparkSession, sf_dir: str, folder: str) -> Callable[[], None]:
+    """Puts the row that moves the watermark past everything into a folder."""
+    table = spark.read.schema(views.TABLES["events"]).parquet(f"{sf_dir}/events.parquet")
+    values = {"event_id": F.lit(END_ID), "user_id": F.lit(END_ID), "ts": F.lit(_end(table)).cast("timestamp_ntz")}
+
+    def put() -> None:
+        row = spark.range(1).select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in table.schema])
         row.write.mode("append").parquet(folder)
 
-    return run_to_end(ended, end)
+    return put
+
+
+def _to_the_end(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run ``build`` over the watched table and, after all its rows, a row that moves the watermark past everything."""
+    folder, added = _input(spark)
+    return run_to_end(build(watched_events(spark, sf_dir).unionByName(added)), _end_row(spark, sf_dir, folder))
 
 
 def _stepped(stream: DataFrame, step: micro.Step) -> DataFrame:
@@ -76,9 +93,12 @@ def visitor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.as_visitor_events(watched_events(spark, sf_dir))
 
 
+def _as_energy(events: DataFrame) -> DataFrame:
+    return views.as_readings(events).withColumn("energy", energy("readings")).drop("readings")
+
+
 def energy_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    readings = views.as_readings(watched_events(spark, sf_dir))
-    return readings.withColumn("energy", energy("readings")).drop("readings")
+    return _as_energy(watched_events(spark, sf_dir))
 
 
 def _stored(result: DataFrame) -> DataFrame:
@@ -99,11 +119,6 @@ def stream_units_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_counts.in_millis(counted)
 
 
-def _flat(joined: DataFrame) -> DataFrame:
-    flat = joined.withColumns({"reading_ts": F.col("reading.ts"), "energy": F.col("reading.energy")})
-    return _stored(flat.drop("reading"))
-
-
 def _both(spark: SparkSession, sf_dir: str) -> DataFrame:
     return micro.united(line_events(spark, sf_dir), energy_readings(spark, sf_dir))
 
@@ -113,17 +128,60 @@ SELECT e.event_id, e.ts, e.line, e.station, e.unit_id, e.action, r.ts AS reading
 FROM line_events e ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts"""
 
 
+def _sides(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return windows.with_disorder(views.as_line_events(events)), windows.with_disorder(_as_energy(events))
+
+
+_JOINED = {"tie": "event_id", "reading_tie": "reading_id", "bucket_seconds": BUCKET_SECONDS}
+
+
 @query("stream_asof_join", _ASOF)
 def stream_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_stepped(_both(spark, sf_dir), micro.asof_join("reading_id")))
+    return _stored(_to_the_end(spark, sf_dir, lambda events: joins.asof_join(*_sides(events), ["energy"], **_JOINED)))
+
 
+# Of seven events one arrives 3 hours and one 12 hours after its time; the grace period lies between. The rows arrive in
+# blocks of days, and the watermark moves between blocks: of the events of 12 hours those within the last hours before the
+# block are too late.
+_GRACE_HOURS, _BLOCK_DAYS = 6, 2
+_DELAY_HOURS = "CASE event_id % 7 WHEN 3 THEN 12 WHEN 5 THEN 3 ELSE 0 END"
+_BLOCK = f"(day(ts) - 1) {{div}} {_BLOCK_DAYS}"
 
-@query("stream_asof_join_with_lateness", _ASOF)
+
+@query(
+    "stream_asof_join_with_lateness",
+    f"""WITH {LINE_EVENTS}, {_READINGS},
+arrived AS (
+  SELECT * REPLACE (ts - {_DELAY_HOURS} * INTERVAL 1 HOUR AS ts), ts AS arrived_ts, {_BLOCK.format(div="//")} AS block
+  FROM line_events),
+reached AS (
+  SELECT block, epoch_ms(max(ts)) AS event_ms, epoch_ms(max(arrived_ts)) AS reading_ms FROM arrived GROUP BY block),
+watermarks AS (
+  SELECT block, least(max(event_ms) OVER before, max(reading_ms) OVER before)
+         - 1000 * ({DISORDER_SECONDS} + 3600 * {_GRACE_HOURS}) AS watermark_ms
+  FROM reached WINDOW before AS (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+kept AS (
+  SELECT a.* FROM arrived a JOIN watermarks w ON a.block = w.block
+  WHERE watermark_ms IS NULL OR epoch_us(a.ts) > 1000 * watermark_ms)
+SELECT e.event_id, e.ts, e.line, e.station, e.unit_id, e.action, r.ts AS reading_ts, r.energy
+FROM kept e ASOF LEFT JOIN readings r ON e.line = r.line AND e.station = r.station AND e.ts >= r.ts""",
+)
 def stream_asof_join_with_lateness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = fresh_path(spark, "figures")
-    step = micro.asof_join("reading_id", grace_seconds=LATENESS_SECONDS)
-    both = _both(spark, sf_dir)
-    return _flat(micro.to_table(both, step, folder, disorder_seconds=DISORDER_SECONDS, grace_seconds=LATENESS_SECONDS))
+    """Late events within the grace period are answered, those beyond it are not in the result."""
+    table = spark.read.schema(views.TABLES["events"]).parquet(f"{sf_dir}/events.parquet")
+    block = F.expr(_BLOCK.format(div="DIV"))
+    folder, events = _input(spark)
+    late = views.as_line_events(events).withColumn("ts", F.expr(f"ts - make_interval(0, 0, 0, 0, {_DELAY_HOURS})"))
+    joined = joins.asof_join_with_lateness(
+        late, _as_energy(events), ["energy"], DISORDER_SECONDS, 3600 * _GRACE_HOURS, **_JOINED
+    )
+
+    def put(number: int) -> Callable[[], None]:
+        return lambda: table.where(block == number).write.mode("append").parquet(folder)
+
+    blocks = range(-(-31 // _BLOCK_DAYS))
+    result, _ = run_fed(joined, [*map(put, blocks), _end_row(spark, sf_dir, folder)])
+    return _stored(result)
 
 
 @query(
@@ -141,7 +199,10 @@ SELECT event_id, ts, line, station, unit_id, action, CASE WHEN back THEN b_ts EL
 FROM m""",
 )
 def stream_nearest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_stepped(_both(spark, sf_dir), micro.nearest_join("reading_id")))
+    def nearest(events: DataFrame) -> DataFrame:
+        return joins.nearest_join(*_sides(events), ["energy"], certain=True, **_JOINED)
+
+    return _stored(_to_the_end(spark, sf_dir, nearest))
 
 
 @query(
@@ -150,10 +211,11 @@ def stream_nearest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT line, station, unit_id, max(ts) FILTER (WHERE action = 'IN') AS start_ts,
        max(ts) FILTER (WHERE action = 'OUT') AS end_ts
 FROM line_events GROUP BY line, station, unit_id
-HAVING count(*) FILTER (WHERE action = 'IN') = 1 AND count(*) FILTER (WHERE action = 'OUT') = 1""",
+HAVING count(*) FILTER (WHERE action = 'IN') = 1 AND count(*) FILTER (WHERE action = 'OUT') = 1
+  AND abs(epoch_us(max(ts)) - epoch_us(min(ts))) <= 86400000000""",
 )
 def stream_station_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(_stepped(line_events(spark, sf_dir), micro.pair_in_out())).drop("event_id")
+    return _stored(run_to_table(windows.pair_in_out(line_events(spark, sf_dir), "1 DAY").drop("energy_consumption")))
 
 
 @query("stream_sum_per_unit", SQL["sum_per_unit"])
@@ -205,12 +267,19 @@ def stream_station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stream_inactivity_in_order", SQL["inactivity_in_order"])
 def stream_inactivity_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stepped(visitor_events(spark, sf_dir), micro.silences(INACTIVITY_SECONDS, equal_gap_alerts=False))
+    def alerts(events: DataFrame) -> DataFrame:
+        return stations.inactivity_in_order(windows.in_order(views.as_visitor_events(events)), INACTIVITY_SECONDS)
+
+    return _to_the_end(spark, sf_dir, alerts)
 
 
 @query("stream_inactivity_buffered", SQL["inactivity_buffered"])
 def stream_inactivity_buffered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stepped(visitor_events(spark, sf_dir), micro.silences(INACTIVITY_SECONDS, equal_gap_alerts=True))
+    def alerts(events: DataFrame) -> DataFrame:
+        events = windows.with_disorder(views.as_visitor_events(events))
+        return stations.inactivity_buffered(events, INACTIVITY_SECONDS, BUCKET_SECONDS)
+
+    return _to_the_end(spark, sf_dir, alerts)
 
 
 @query("stream_inactivity_sessions", SQL["inactivity_buffered"])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from millrace.session import fresh_path
 from millrace.sources.wire import PROCESSING_EVENT_WIRE, processing_events
@@ -79,24 +81,70 @@ class DroppedRows(RuntimeError):
     """The query dropped rows behind its watermark."""
 
 
-def run_to_end(stream: DataFrame, end: Callable[[], None]) -> DataFrame:
-    """Process all input there is, call ``end``, which adds the row that ends the input, process that, and return the result.
+class Losses(StreamingQueryListener):
+    """Adds up the rows that queries dropped behind their watermark, over all of their progress reports.
 
-    A row that the watermark dropped makes it fail: what comes back would not be the result of the input.
+    A query itself remembers only its last reports.
+    """
+
+    WAIT_SECONDS = 60
+
+    def __init__(self) -> None:
+        self.rows: Counter[str] = Counter()
+        self.ended: defaultdict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        self.rows[str(progress.runId)] += sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery) -> int:
+        """What a stopped query dropped in all. Reports come in order, so all have come when its end has."""
+        run = str(query.runId)
+        if not self.ended[run].wait(self.WAIT_SECONDS):
+            raise RuntimeError("the end of the query was not reported")
+        return self.rows[run]
+
+
+def run_fed(stream: DataFrame, feeds: Iterable[Callable[[], None]]) -> tuple[DataFrame, int]:
+    """Process all input there is, then call the ``feeds`` one by one, each of which adds input, and process that.
+
+    Returns the result and the number of rows that were dropped behind a watermark.
     """
     spark = stream.sparkSession
     checkpoint = fresh_path(spark, "query")
     folder = f"{checkpoint}-table"
-    query = _writer(stream, checkpoint).format("parquet").start(folder)
-    lost = 0
+    losses = Losses()
+    spark.streams.addListener(losses)
     try:
-        query.processAllAvailable()
-        # Rows are only dropped before the end is fed. Spark remembers spark.sql.streaming.numRecentProgressUpdates.
-        lost += sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-        end()
-        query.processAllAvailable()
+        query = _writer(stream, checkpoint).format("parquet").start(folder)
+        try:
+            query.processAllAvailable()
+            for feed in feeds:
+                feed()
+                query.processAllAvailable()
+        finally:
+            query.stop()
+        lost = losses.of(query)
     finally:
-        query.stop()
+        spark.streams.removeListener(losses)
+    return spark.read.schema(stream.schema).parquet(folder), lost
+
+
+def run_to_end(stream: DataFrame, end: Callable[[], None]) -> DataFrame:
+    """Process all input there is, call ``end``, which adds the row that ends the input, process that, and return the result.
+
+    A row that the watermark dropped makes it fail: what comes back would not be the result of the input.
+    """
+    result, lost = run_fed(stream, [end])
     if lost:
         raise DroppedRows(f"{lost} rows were behind the watermark")
-    return spark.read.schema(stream.schema).parquet(folder)
+    return result

@@ -204,8 +204,9 @@ def _time_join(
     output = (
         "line INT, station INT, ts TIMESTAMP" + ddl(event_fields) + ddl(value_fields, "r_") + ", reading_us BIGINT"
     )
+    # Where an answer waits beyond its event's time, that time is no event time for what follows.
     joined = united.groupBy(*LINE_STATION, SALT).transformWithStateInPandas(
-        processor, output, "append", "eventTime", eventTimeColumnName="ts"
+        processor, output, "append", "eventTime", eventTimeColumnName="" if mode == NEAREST else "ts"
     )
     return joined.select(
         *LINE_STATION,

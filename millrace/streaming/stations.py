@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from millrace.functions.time import to_millis
 from millrace.operators.rows import out_events
 from millrace.schemas import IN, INACTIVITY_ALERT, LINE_STATION, STATION_AVERAGE, STATION_COUNT, STATION_REPORT
+from millrace.streaming.buckets import BUCKET_SECONDS, Buckets
 
 COUNT_STATE, STATS_STATE, INSIDE_STATE, TOTALS_STATE = "unitCount", "stationStats", "inProgress", "durationTotals"
 
@@ -193,51 +194,55 @@ class InOrderInactivity(StatefulProcessor):
 
 
 class BufferedInactivity(StatefulProcessor):
-    """Events wait until the watermark reaches them and are then applied in event-time order.
+    """Events wait in time buckets until the watermark reaches them and are then applied in event-time order.
 
-    A silence of exactly the period alerts. Events behind the watermark are dropped. Only distinct times are kept.
+    A silence of exactly the period alerts. Events behind the watermark are dropped. Of what arrives in one go only distinct
+    times are kept.
     """
 
-    def __init__(self, period_ms: int) -> None:
+    def __init__(self, period_ms: int, bucket_seconds: float) -> None:
         self.period_us = period_ms * 1000
+        self.width_us = int(bucket_seconds * 1_000_000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us BIGINT")
+        self.waiting = Buckets(handle, "waiting", "us BIGINT", self.width_us)
         self.last_seen = handle.getValueState("lastSeen", "us BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        arrived = np.unique(np.concatenate([chunk["us"].to_numpy() for chunk in rows]))
-        return self._advance(key, watermark, arrived[arrived >= watermark])
+        self.waiting.load()
+        for chunk in rows:
+            us = np.unique(chunk["us"].to_numpy(dtype="int64"))
+            self.waiting.add(pd.DataFrame({"us": us[us >= watermark]}))
+        yield from self._advance(key, watermark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        return self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000, np.array([], dtype="int64"))
-
-    def _advance(self, key, watermark: int, arrived: np.ndarray) -> Iterator[pd.DataFrame]:
-        held = np.array([row[0] for row in self.waiting.get()], dtype="int64") if self.waiting.exists() else arrived[:0]
-        waiting = np.union1d(held, arrived)
-        ready, later = waiting[waiting <= watermark], waiting[waiting > watermark]
-        seen = ready if not self.last_seen.exists() else np.r_[self.last_seen.get()[0], ready]
-        silent = list(seen[:-1][np.diff(seen) >= self.period_us])
-        last = int(seen[-1]) if len(seen) else None
+        self.waiting.load()
+        yield from self._advance(key, timerValues.getCurrentWatermarkInMs() * 1000)
+
+    def _advance(self, key, watermark: int) -> Iterator[pd.DataFrame]:
+        held = last = int(self.last_seen.get()[0]) if self.last_seen.exists() else None
+        for due in self.waiting.take(watermark):
+            seen = np.unique(due["us"].to_numpy())
+            if not len(seen):
+                continue
+            seen = seen if last is None else np.r_[last, seen]
+            last = int(seen[-1])
+            silent = seen[:-1][np.diff(seen) >= self.period_us]
+            if len(silent):
+                yield _alerts(key, silent.tolist())
         if last is not None and last + self.period_us <= watermark:
-            silent.append(last)
+            yield _alerts(key, [last])
             last = None
 
-        if len(later):
-            self.waiting.put([(int(us),) for us in later])
-        elif len(held):
-            self.waiting.clear()
-        if last is not None:
-            self.last_seen.update((last,))
-        elif self.last_seen.exists():
+        if last is None and held is not None:
             self.last_seen.clear()
-        due = [int(later[0])] if len(later) else []
-        due += [] if last is None else [last + self.period_us]
+        elif last != held:
+            self.last_seen.update((last,))
+        due = [t for t in (self.waiting.first(), None if last is None else last + self.period_us) if t is not None]
         reset_timer(self.handle, -(-min(due) // 1000) if due else None)
-        if silent:
-            yield _alerts(key, [int(us) for us in silent])
+        self.waiting.save()
 
     def close(self) -> None:
         pass
@@ -255,9 +260,11 @@ def inactivity_in_order(events: DataFrame, period_seconds: int) -> DataFrame:
     return _inactivity(events, InOrderInactivity(period_seconds * 1000))
 
 
-def inactivity_buffered(events: DataFrame, period_seconds: int) -> DataFrame:
+def inactivity_buffered(
+    events: DataFrame, period_seconds: int, bucket_seconds: float = BUCKET_SECONDS
+) -> DataFrame:
     """Alerts for events (with a watermark on ``ts``) in any order within the watermark."""
-    return _inactivity(events, BufferedInactivity(period_seconds * 1000))
+    return _inactivity(events, BufferedInactivity(period_seconds * 1000, bucket_seconds))
 
 
 def inactivity_sessions(events: DataFrame, period_seconds: int) -> DataFrame:
