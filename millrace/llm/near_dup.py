@@ -1,6 +1,6 @@
 """Near-duplicate documents by HyperMinHash.
 
-1. A document's shingles are hashed and thrown into ``WIDE`` buckets, again and again while one is empty; of each bucket's
+1. A document's shingles are hashed and thrown into ``BUCKETS`` buckets, again and again while one is empty; of each bucket's
    least hash in the first throw that hits it a 16-bit register holds the number of leading zeros and the ten bits behind
    the leading one. Two registers are equal with the Jaccard similarity as probability, whatever the sizes (plus rare
    collisions of compressed values). The first ``BUCKETS`` registers are kept whole, of all others the last bit.
@@ -9,8 +9,9 @@
    probability of 4e-9.
 4. Of a band's classes not all pairs are formed. Each class is first paired with the smallest class it shares most bands
    with. Pairs whose estimate, corrected for chance collisions of registers, is too low go; the rest are confirmed on the
-   whole texts. Connected components follow, and bands whose classes all lie in one component are done. In the others, classes of different
-   components are paired: no possible link between components is left out.
+   whole texts. Connected components follow, and bands whose classes all lie in one component are done. The classes of the
+   others are paired by their rarest shingles (``prefix_tokens``): a link between two of them is only possible if such
+   a shingle is common to both, so no link is left out, and classes that share only what is frequent are never paired.
 5. Components of all confirmed links; the smallest doc_id names each.
 
 Defined results: a document without words (null, empty or blank text) has an empty set and is linked with nothing. Rows
@@ -25,24 +26,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import join_small, settle
 from millrace.llm.components import components
 
 ROWS, BANDS = 6, 64
-BUCKETS = ROWS * BANDS  # whose registers are kept whole, for bands and estimates
-WIDE = 2048  # buckets of which one bit is kept
+BUCKETS = ROWS * BANDS
 MANTISSA = 10
 THROWS = 63
 PERCENT = 80  # links have at least this similarity
 # Six standard deviations of the estimate of a pair at the threshold.
 LEAST_ESTIMATE = PERCENT / 100 - 6 * (PERCENT / 100 * (1 - PERCENT / 100) / BUCKETS) ** 0.5
-# The last mantissa bits of two sets differ in half of the registers that differ. At the threshold that is a tenth of them;
-# six standard deviations more are let through.
-_DIFFER = (1 - PERCENT / 100) / 2
-MOST_BITS = int(WIDE * _DIFFER + 6 * (WIDE * _DIFFER * (1 - _DIFFER)) ** 0.5)
+# Counters of the frequencies that order shingles, 8 MB in all: those of rare shingles may be shared.
+COUNTERS = 2**20
 
 NONE = np.uint64(2**64 - 1)
 
@@ -54,7 +52,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_SEEDS = _mix(np.arange(1, WIDE + 1, dtype=np.uint64))
+_SEEDS = _mix(np.arange(1, BUCKETS + 1, dtype=np.uint64))
 _THROW_SEEDS = _mix(np.arange(10_001, 10_001 + THROWS, dtype=np.uint64))
 
 
@@ -76,17 +74,17 @@ def shingle_hashes(words: list[bytes], k: int) -> np.ndarray:
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """The ``WIDE`` compressed registers of a set of hashes that isn't empty.
+    """The ``BUCKETS`` compressed registers of a set of hashes that isn't empty.
 
     A bucket takes its value from the first throw that hits it: the throw's number stands above the hash, so that the
     least number is the least hash of that throw. Once all buckets are hit, further throws change nothing.
     """
-    least = np.full(WIDE, NONE)
+    least = np.full(BUCKETS, NONE)
     step = max(1, 8192 // len(hashes))
     for begin in range(0, THROWS, step):
         throws = np.arange(begin, min(begin + step, THROWS), dtype=np.uint64)
         thrown = _mix(hashes[None, :] ^ _THROW_SEEDS[throws.astype(np.int64)][:, None])
-        at = ((thrown >> np.uint64(32)) * np.uint64(WIDE)) >> np.uint64(32)
+        at = ((thrown >> np.uint64(32)) * np.uint64(BUCKETS)) >> np.uint64(32)
         values = (_mix(thrown) >> np.uint64(6)) | (throws << np.uint64(58))[:, None]
         np.minimum.at(least, at.astype(np.int64).ravel(), values.ravel())
         empty = np.flatnonzero(least == NONE)
@@ -105,7 +103,7 @@ def _collisions(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     zeros = np.arange(54)[:, None]
 
     def in_band(size: np.ndarray) -> np.ndarray:
-        load = np.maximum(size / WIDE, 1)
+        load = np.maximum(size / BUCKETS, 1)
         return (1 - 2.0 ** -(zeros + 1)) ** load - (1 - 2.0**-zeros) ** load
 
     return (in_band(n) * in_band(m)).sum(axis=0) / 2**MANTISSA
@@ -122,24 +120,21 @@ def _sign(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
         for batch in batches:
             for start in range(0, batch.num_rows, 2000):
                 part = batch.slice(start, 2000)
-                digests, sizes, signs, bits = [], [], [], []
+                digests, sizes, signs = [], [], []
                 for text in part.column(1).to_pylist():
                     words = words_of(text)
                     hashes = shingle_hashes(words, k)
                     digests.append(xxhash.xxh3_128_digest(b" ".join(words)))
                     sizes.append(len(hashes))
-                    kept = registers(hashes) if words else None
-                    signs.append(None if kept is None else kept[:BUCKETS].tobytes())
-                    bits.append(None if kept is None else np.packbits(kept.astype(np.uint8) & 1).view(np.int64).tolist())
+                    signs.append(registers(hashes).tobytes() if words else None)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array(digests, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(signs, pa.binary()),
-                        pa.array(bits, pa.list_(pa.int64())),
                     ],
-                    ["id", "digest", "n", "signature", "bits"],
+                    ["id", "digest", "n", "signature"],
                 )
 
     return run
@@ -201,80 +196,144 @@ def confirm(close: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     return settle(met.select("a", "b", "ta", "tb").mapInArrow(_confirm(k), "a long, b long").distinct(), "links")
 
 
-def different_bits(one: Column, other: Column) -> Column:
-    return sum((F.bit_count(one[i].bitwiseXOR(other[i])) for i in range(1, WIDE // 64)), F.bit_count(one[0].bitwiseXOR(other[0])))
+def _hashed(k: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(words_of(text), k).tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("v"), batch.column("label"), pa.array(sets, pa.binary())], ["v", "label", "hashes"])
+
+    return run
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for hashes in batch.column("hashes").to_pylist():
+            counts += np.bincount((np.frombuffer(hashes, "<u8") % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["counter", "n"])
 
 
-def cluster(
-    members: DataFrame, confirm: Callable[[DataFrame, bool], DataFrame], sketch: DataFrame | None = None
-) -> DataFrame:
+def prefix_lengths(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the rarest of n shingles must be looked at as the smaller, and as the larger set of a pair.
+
+    With similarity s at least p/100 and |x| <= |y|, x and y have at least 2s/(1 + s) |x| shingles in common, and at least
+    s |y|. In any one order of all shingles the first of these is among so many first ones of each.
+    """
+    most = -(-2 * PERCENT * n // (100 + PERCENT))
+    return n - most + 1, n - -(-PERCENT * n // 100) + 1
+
+
+def _prefixes(counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                tokens, sizes = [], []
+                for hashes in part.column("hashes").to_pylist():
+                    hashes = np.frombuffer(hashes, "<u8")
+                    n = prefix_lengths(len(hashes))[1]
+                    frequency = counts.value[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
+                    tokens.append(hashes[np.lexsort((hashes, frequency))[:n]].view(np.int64))
+                    sizes.append(len(hashes))
+                lengths = [len(t) for t in tokens]
+                row = pa.array(np.repeat(np.arange(part.num_rows), lengths))
+                at = np.concatenate([np.arange(n) for n in lengths]) if lengths else np.empty(0, np.int64)
+                n = np.repeat(np.array(sizes, np.int64), lengths)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("v").take(row), part.column("label").take(row), pa.array(n), pa.array(np.concatenate(tokens)), pa.array(at)],
+                    ["v", "label", "n", "token", "at"],
+                )
+
+    return run
+
+
+def prefix_tokens(texts: DataFrame, k: int) -> DataFrame:
+    """Of each set of shingles the rarest ones, as many as a pair may need: v, label, n (size), token, at (place in the order).
+
+    The order is that of a fixed number of counters and then of the hashes. Counters may be shared by several shingles: that
+    costs pairs to look at, never a link.
+    """
+    hashed = settle(texts.select("v", "label", "text").mapInArrow(_hashed(k), "v long, label long, hashes binary"), "hashed")
+    counted = hashed.select("hashes").mapInArrow(_frequencies, "counter long, n long").groupBy("counter").agg(F.sum("n").alias("n"))
+    counted = counted.toArrow()  # at most COUNTERS rows
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[counted.column("counter").to_numpy()] = counted.column("n").to_numpy()
+    shipped = texts.sparkSession.sparkContext.broadcast(counts)
+    return settle(hashed.mapInArrow(_prefixes(shipped), "v long, label long, n long, token long, at long"), "prefixes")
+
+
+def prefix_pairs(tokens: DataFrame) -> DataFrame:
+    """Pairs (x, lx, v, label) of different labels that can be links: one of their rarest shingles is common to both."""
+    least = F.col("n") - F.ceil(F.lit(2 * PERCENT) * F.col("n") / (100 + PERCENT)) + 1
+    smaller = tokens.where(F.col("at") < least)
+    smaller = smaller.select("token", F.col("v").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx"), F.col("at").alias("ax"))
+    ordered = (F.col("nx") < F.col("n")) | ((F.col("nx") == F.col("n")) & (F.col("x") < F.col("v")))
+    sized = F.col("nx") * 100 >= F.col("n") * PERCENT
+    # Were this their first common shingle, so many could be common in all.
+    left = F.least(F.col("nx") - F.col("ax"), F.col("n") - F.col("at"))
+    enough = left * (100 + PERCENT) >= (F.col("nx") + F.col("n")) * PERCENT
+    met = smaller.join(tokens, "token").where(ordered & sized & (F.col("lx") != F.col("label")) & enough)
+    return settle(met.select("x", "lx", "v", "label").distinct(), "pairs")
+
+
+def cluster(members: DataFrame, confirm: Callable[[DataFrame], DataFrame], texts: Callable[[DataFrame], DataFrame], k: int) -> DataFrame:
     """Components of the links between items that share a key: columns v and label (see ``components``).
 
-    ``members`` has columns key, hub (the key's smallest v), v, n (size, for the ratio that a link needs); ``confirm``
-    gives those of the pairs (a, b) that are links, and is told whether the sketch has let them pass. Every link between two
-    items of a key is found or lies within a component. ``sketch`` (v, bits) lets the second round leave out, where two items meet, pairs that are far from a link.
+    ``members`` has columns key, hub (the key's smallest v) and v; ``confirm`` gives those of the pairs (a, b) that are links,
+    and ``texts`` adds the column text to a table with a column v. Every link between two items of a key is found or lies
+    within a component.
     """
     stars = members.where("v <> hub").groupBy("hub", "v").count()
     best = stars.groupBy("v").agg(F.max_by(F.struct("hub"), F.struct("count", -F.col("hub"))).alias("best"))
     tried = settle(best.select(F.col("best.hub").alias("a"), F.col("v").alias("b")), "tried")
-    labels = components(confirm(tried, False))
-
-    # Keys whose items lie in several components.
-    named = members.join(labels, "v", "left").select("key", "v", "n", F.coalesce("label", "v").alias("label"))
-    mixed = named.groupBy("key", "label").count().groupBy("key").agg(
-        F.max_by("label", F.struct("count", "label")).alias("main"), F.count("*").alias("labels")
-    )
-    mixed = settle(mixed.where("labels > 1").select("key", "main"), "mixed")
-    open_ = named.join(mixed, "key")
-    open_ = settle(open_ if sketch is None else open_.join(sketch, "v"), "open")
-    # One side leaves out a key's largest component: pairs within it aren't even looked at.
-    here = {"v": "x", "n": "nx", "label": "lx", **({} if sketch is None else {"bits": "bx"})}
-    minor = open_.where("label <> main").select("key", *[F.col(c).alias(name) for c, name in here.items()])
-    may = (F.col("lx") != F.col("label")) & (F.least("nx", "n") * 100 >= F.greatest("nx", "n") * PERCENT)
-    if sketch is not None:
-        may = may & (different_bits(F.col("bx"), F.col("bits")) <= MOST_BITS)
-    pairs = minor.join(open_, "key").where(may)
-    far = F.lit(0) if sketch is None else different_bits(F.col("bx"), F.col("bits"))
-    pairs = settle(pairs.select("x", "lx", "v", "label", far.alias("far")).distinct(), "pairs")
-    # Of each item and other component the most alike pair first; most items need no other.
-    first = pairs.groupBy("x", "label").agg(F.min_by("v", F.struct("far", "v")).alias("b"))
+    labels = components(confirm(tried))
+
+    # Items of keys whose items lie in several components.
+    named = members.join(labels, "v", "left").select("key", "v", F.coalesce("label", "v").alias("label"))
+    mixed = named.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most")
+    open_ = settle(named.join(settle(mixed.select("key"), "mixed"), "key").select("v", "label").distinct(), "open")
+    if open_.isEmpty():
+        return labels
+    pairs = prefix_pairs(prefix_tokens(texts(open_), k))
+
+    # Of each item and other component one pair first; most need no other.
+    first = pairs.groupBy("x", "label").agg(F.min("v").alias("b"))
     first = settle(first.select(F.col("x").alias("a"), "b"), "first")
-    labels = components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(confirm(first, sketch is not None)))
+    known = labels.select(F.col("label").alias("a"), F.col("v").alias("b"))
+    labels = components(known.union(confirm(first)))
     now = labels.withColumnRenamed("label", "now")
-    rest = pairs.select("x", "v").join(now.select(F.col("v").alias("x"), F.col("now").alias("nx")), "x", "left").join(now, "v", "left")
-    rest = rest.where(F.coalesce("nx", "x") != F.coalesce("now", "v"))
-    rest = rest.select(F.least("x", "v").alias("a"), F.greatest("x", "v").alias("b")).distinct()
-    for done in (tried, first):
-        rest = rest.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
-    more = confirm(settle(rest, "rest"), sketch is not None)
-    return components(labels.select(F.col("label").alias("a"), F.col("v").alias("b")).union(more))
+    rest = pairs.withColumn("first", F.min("v").over(Window.partitionBy("x", "label"))).where("v <> first").select("x", "v")
+    rest = rest.join(now.select(F.col("v").alias("x"), F.col("now").alias("nx")), "x", "left").join(now, "v", "left")
+    rest = rest.where(F.coalesce("nx", "x") != F.coalesce("now", "v")).select(F.col("x").alias("a"), F.col("v").alias("b"))
+    known = labels.select(F.col("label").alias("a"), F.col("v").alias("b"))
+    return components(known.union(confirm(settle(rest, "rest"))))
 
 
 def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed = settle(docs.mapInArrow(_sign(k), "id long, digest binary, n long, signature binary, bits array<long>"), "signed")
+    signed = settle(docs.mapInArrow(_sign(k), "id long, digest binary, n long, signature binary"), "signed")
 
     first = Window.partitionBy("digest").orderBy("id")
     present = signed.where("id IS NOT NULL AND n > 0")
     classes = present.withColumn("_r", F.row_number().over(first)).where("_r = 1")
-    classes = settle(classes.select(F.col("id").alias("v"), "n", "signature", "bits"), "classes")
+    classes = settle(classes.select(F.col("id").alias("v"), "n", "signature"), "classes")
 
     width = 2 * ROWS
     band = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(F.substring("signature", j * width + 1, F.lit(width)), j)
     )
-    bands = classes.select("v", "n", F.explode(band).alias("key"))
+    bands = classes.select("v", F.explode(band).alias("key"))
 
     # Bands that two classes or more share, each with its smallest class.
     shared = bands.groupBy("key").agg(F.min("v").alias("hub"), F.max("v").alias("last")).where("hub < last")
     members = settle(bands.join(settle(shared.select("key", "hub"), "shared"), "key"), "members")
-    # The bits estimate more closely than the registers kept whole, so pairs that passed them go straight to the texts.
-    labels = cluster(
-        members,
-        lambda pairs, told: confirm(pairs if told else estimated(pairs, classes), docs, k),
-        classes.select("v", "bits").dropDuplicates(["v"]),
-    )
+
+    def texts(some: DataFrame) -> DataFrame:
+        return join_small(docs, some.withColumnRenamed("v", "id"), "id", "inner").withColumnRenamed("id", "v")
+
+    labels = cluster(members, lambda pairs: confirm(estimated(pairs, classes), docs, k), texts, k)
 
     # Of each class, then of each row. Copies of one text may be very many: the small tables are settled first, so that
     # the joins can be split.
