@@ -167,8 +167,16 @@ def judge(docs: DataFrame, text: str = "text", verdict: str = "quality", whole:
         fails = lambda k: F.when(k > 0, whole_line_fails(line, k, marked)).otherwise(False)
         return let(word_count(line), lambda k: F.struct(line.alias("l"), k.alias("n"), fails(k).alias("f")))
 
+    def lines_whole(lines: Column) -> Column:
+        # Which lines go on only matters where a line of its own lacks the mark it needs.
+        lacking = F.exists(
+            lines, lambda x: ~x.rlike(ANY_MARK) & (word_count(x) >= UNMARKED_WORDS) & ~x.rlike(NO_MARKS)
+        )
+        alone = F.transform(lines, lambda x: whole_line(x, x.rlike(ANY_MARK)))
+        return F.when(lacking, F.flatten(F.transform(wrapped(lines), one_group))).otherwise(alone)
+
     parts = F.split("_body", "\n")
-    judged_lines = F.flatten(F.transform(wrapped(parts), one_group)) if whole else F.transform(parts, one_line)
+    judged_lines = let(parts, lines_whole) if whole else F.transform(parts, one_line)
     packed = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_body"))
     split = packed.select(
         "_row",
