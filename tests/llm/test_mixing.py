@@ -3,6 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +82,53 @@ def test_importance_changes_the_odds(spark):
     chosen = mixing.copies(docs, importance=F.when(F.col("good") == 1, 1.6).otherwise(0.4)).where("row.source <> 's0'")
     by = {r["good"]: r["n"] for r in chosen.groupBy("row.good").agg(F.avg("copies").alias("n")).collect()}
     assert by[1] > by[0] + 0.2
+
+
+def by_sql(docs, tmp_path):
+    path = str(tmp_path / "documents")
+    docs.select("doc_id", "source", "text").write.parquet(path)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+        return Counter(db.execute(f"SELECT doc_id, size, source_size, taken FROM ({mixing.SQL})").fetchall())
+
+
+@pytest.mark.parametrize("same", [1, 2, 7, 1234])
+def test_repeated_rows_are_taken_in_part(spark, tmp_path, same):
+    """3,000 rows alike in id, source and words among 1,500 longer documents: targets are met to half a document."""
+    docs = spark.range(4500, numPartitions=5).selectExpr(
+        f"if(id < 3000, {same}, id) AS doc_id", "repeat('w ', if(id < 3000, 2, 10)) AS text", "'s' || id % 3 AS source"
+    )
+    got = check(docs, lambda source, target, rows: 5)
+    assert Counter((r["id"], r["size"], r["source_size"], r["taken"]) for r in got) == by_sql(docs, tmp_path)
+    mixed = mixing.mix(docs)
+    want = sum(r["taken"] // r["size"] for r in got)
+    assert mixed.count() == want
+
+
+def test_one_repeated_row_is_the_whole_source(spark, tmp_path):
+    docs = spark.range(999, numPartitions=4).selectExpr(
+        "cast(if(id % 3 = 0, id, null) AS bigint) AS doc_id", "if(id % 3 = 2, 'a', 'a b c') AS text", "if(id % 3 = 0, null, 's' || id % 3) AS source"
+    )
+    got = check(docs, lambda source, target, rows: 2)
+    assert Counter((r["id"], r["size"], r["source_size"], r["taken"]) for r in got) == by_sql(docs, tmp_path)
+
+
+def test_a_large_group_is_numbered_without_gaps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "CHUNK_BITS", 3)
+    rows = spark.range(500, numPartitions=7).selectExpr("id % 2 AS sid", "1L AS id", "2L AS size")
+    got = mixing._number(rows).groupBy("sid").agg(F.sort_array(F.collect_list("number")).alias("n")).collect()
+    assert [r["n"] for r in got] == [list(range(1, 251))] * 2
+
+
+def test_longer_documents_are_taken_more_often(spark):
+    """Inclusion probabilities follow the bit length of the size, and are certain where they reach 1."""
+    docs = spark.range(20000).selectExpr("id AS doc_id", "repeat('w ', if(id % 2 = 0, 1, 15)) AS text", "'s' || id % 3 AS source")
+    chosen = mixing.copies(docs).where("row.source = 's1'").groupBy("size").agg(F.avg("copies").alias("n"), F.first("target").alias("t"))
+    by = {r["size"]: r for r in chosen.collect()}
+    n1, n15, count = by[1]["n"], by[15]["n"], 20000 / 6
+    room = by[1]["t"] / count / 16
+    if room < 1:
+        scale = by[1]["t"] / count / (1 + 15 * 4)
+        assert n1 == pytest.approx(scale, abs=0.03) and n15 == pytest.approx(4 * scale, abs=0.01)
+    else:
+        assert n15 > n1
