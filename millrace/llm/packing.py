@@ -1,7 +1,7 @@
 """Best-fit packing of tokenized documents into sequences of a fixed length.
 
 1. A document's ids are those of a tokenizer file, then one end id. Blanks never belong to a token, so a text is tokenized
-   run by run between blanks, and what a run gave is kept for the words met last.
+   run by run between blanks, each distinct run of a batch once, and what a run gave is kept for the words met last.
 2. A document longer than a sequence is cut into pieces of a whole sequence each; its last piece may be shorter. No other
    document is cut.
 3. Each task packs its pieces online, by bounded-space best fit: a piece goes into the open sequence whose free space is the
@@ -28,6 +28,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ TASK_BITS = 33
 KEPT = 2**19
 LONGEST_KEPT = 64
 TOGETHER = 10_000
+LAID_WORDS = 2**18
 # ASCII marks, but for the apostrophe, which may begin an ending.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 ROWS = 500
@@ -149,18 +151,34 @@ class Words:
             ends = (4 * np.searchsorted(starts, begins)).tolist()
             young.update((word, ids[a:b]) for word, a, b in zip(some, ends, ends[1:], strict=False))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text. Each distinct word is looked up once; numpy lays the ids out in the words' order."""
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {}
-        cut = [(text or "").encode().split() for text in texts]
-        met = set().union(*cut)
-        self._learn(met.difference(self.young))
-        known = self.young.__getitem__
-        out = [b"".join(map(known, words)) for words in cut]
-        for word in met:
+        cut = pc.ascii_split_whitespace(pc.fill_null(pa.array(texts, pa.string()), ""))
+        coded = cut.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        young = self.young
+        young[b""] = b""  # blanks at the ends of a text leave empty words
+        ids = list(map(young.get, words))
+        self._learn([word for word, known in zip(words, ids, strict=True) if known is None])
+        ids = [young[word] if known is None else known for word, known in zip(words, ids, strict=True)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        begins = np.cumsum(lengths) - lengths
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        order = coded.indices.to_numpy()
+        laid = []
+        for start in range(0, len(order), LAID_WORDS):
+            block = order[start : start + LAID_WORDS]
+            n = lengths[block]
+            ends = np.cumsum(n)
+            laid.append(flat[np.arange(n.sum()) + np.repeat(begins[block] - (ends - n), n)].tobytes())
+        out = b"".join(laid)
+        bounds = np.concatenate([[0], 4 * np.cumsum(lengths[order])])[cut.offsets.to_numpy()].tolist()
+        for word in words:
             if len(word) > LONGEST_KEPT:
-                del self.young[word]
-        return out
+                del young[word]
+        return [out[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
 
 
 _tokenizers: dict[str, Words] = {}
@@ -196,7 +214,7 @@ def pack(
             for begin in range(0, batch.num_rows, ROWS):
                 part = batch.slice(begin, ROWS)
                 pieces = []
-                for row, ids in enumerate(words.encode(part.column(1).to_pylist())):
+                for row, ids in enumerate(words.encode(part.column(1))):
                     ids += end
                     for start in range(0, len(ids) // 4, size):
                         piece = ids[4 * start : 4 * (start + size)]
