@@ -74,7 +74,10 @@ def test_mix_repeats_whole_rows(documents, odd):
     want = {r["id"]: r["taken"] // r["size"] for r in mixing.decide(documents).collect() if r["size"]}
     got = Counter(r["doc_id"] for r in out.select("doc_id").collect())
     assert got == Counter({i: n for i, n in want.items() if n})
-    assert mixing.mix(odd).schema == odd.schema
+    mixed = mixing.mix(odd)
+    assert mixed.schema == odd.schema
+    want = sum(r["taken"] // r["size"] for r in mixing.decide(odd).collect() if r["size"])
+    assert mixed.count() == len(mixed.collect()) == want
 
 
 def test_importance_changes_the_odds(spark):
