@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.records import decode_json, encode_json, energy, temperature
 from millrace.functions.text import digit_count, letter_count, total_digits, total_letters
 from millrace.functions.time import from_millis, to_millis
-from millrace.operators import asof, counts, durations, inactivity, pairing, rows
+from millrace.operators import aggregates, asof, counts, durations, inactivity, pairing, rows
 from millrace.plans import views
 from millrace.plans.energy import energy_per_unit, station_energy
 from millrace.session import prepare
@@ -421,6 +421,32 @@ def keyed_window_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.keyed_steps(events, steps).drop("ts", "value")
 
 
+BUSY_SECONDS = 900
+
+
+@query(
+    "busy_time_per_day",
+    f"""WITH {VISITOR_EVENTS},
+steps AS (
+  SELECT line, station, date_trunc('day', ts) AS window_start, epoch_us(ts) AS us,
+         epoch_us(ts) - lag(epoch_us(ts)) OVER w <= {BUSY_SECONDS} * 1000000 AS goes_on
+  FROM visitor_events WINDOW w AS (PARTITION BY line, station, date_trunc('day', ts) ORDER BY ts, event_id)),
+numbered AS (
+  SELECT *, count(*) FILTER (WHERE goes_on IS NOT TRUE) OVER
+              (PARTITION BY line, station, window_start ORDER BY us RANGE UNBOUNDED PRECEDING) AS n
+  FROM steps),
+stretches AS (
+  SELECT line, station, window_start, max(us) - min(us) + {BUSY_SECONDS} * 1000000 AS us
+  FROM numbered GROUP BY line, station, window_start, n)
+SELECT line, station, CAST(window_start AS TIMESTAMP) AS window_start, CAST(sum(us) AS BIGINT) AS busy_us,
+       count(*) AS stretches, max(us) AS longest_us
+FROM stretches GROUP BY line, station, window_start""",
+)
+def busy_time_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate of one's own: a station's time within a quarter of an hour after an event, by day."""
+    return aggregates.busy_time(views.visitor_events(spark, sf_dir), ["line", "station"], BUSY_SECONDS)
+
+
 # --- Functions -------------------------------------------------------------------------------------------------------
 
 
