@@ -13,7 +13,9 @@ from millrace.functions.time import from_millis, to_millis
 from millrace.operators import aggregates, asof, counts, durations, inactivity, pairing, rows
 from millrace.plans import views
 from millrace.plans.energy import energy_per_unit, station_energy
+from millrace.schemas import PROCESSING_EVENT_AVRO, STATISTICS_AVRO_SCHEMA
 from millrace.session import prepare
+from millrace.sources import avro, kafka, wire
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -533,6 +535,52 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_json(encoded, "line INT, station INT, unit_id BIGINT, action STRING")
 
 
+# An id as a registry would give it to the schema of the events.
+EVENT_SCHEMA_ID, COUNT_SCHEMA_ID = 7, 70_000
+
+
+def _varint(number: str) -> str:
+    """Hexadecimal bytes of a number that is not negative, zig-zag and seven bits a byte."""
+    length = " + ".join(f"(2 * ({number}) >= {1 << 7 * i})::INT" for i in range(1, 9))
+    return f"""list_aggregate(list_transform(range(1 + {length}), lambda i: printf('%02X',
+      (CAST(2 * ({number}) AS BIGINT) >> CAST(7 * i AS INTEGER)) & 127 | CASE WHEN i < {length} THEN 128 ELSE 0 END)), 'string_agg', '')"""
+
+
+@query(
+    "avro_messages",
+    f"""WITH {STATION_EVENTS}
+SELECT event_id, '00{EVENT_SCHEMA_ID:08X}' || {_varint(_ms('ts'))} || {_varint('line')} || {_varint('station')}
+       || {_varint('unit_id')} || {_varint("CASE action WHEN 'IN' THEN 0 ELSE 1 END")} AS message
+FROM station_events""",
+)
+def avro_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of each event's message."""
+    events = views.station_events(spark, sf_dir)
+    records = events.withColumns({"timestamp": F.col("ts"), "unitId": F.col("unit_id")})
+    return records.select("event_id", F.hex(avro.encode(records, PROCESSING_EVENT_AVRO, EVENT_SCHEMA_ID)).alias("message"))
+
+
+@query(
+    "avro_round_trip",
+    f"WITH {STATION_EVENTS} SELECT date_trunc('millisecond', ts) AS ts, line, station, unit_id, action FROM station_events",
+)
+def avro_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = wire.events_to_avro(views.station_events(spark, sf_dir))
+    messages = records.select(avro.encode(records, PROCESSING_EVENT_AVRO, EVENT_SCHEMA_ID).alias("value"))
+    return kafka.decode_avro(messages, EVENT_SCHEMA_ID).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("avro_units_per_window", SQL["units_per_window"])
+def avro_units_per_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Window counts of events that come as messages, written as messages and read again."""
+    records = wire.events_to_avro(views.line_events(spark, sf_dir))
+    messages = records.select(avro.encode(records, PROCESSING_EVENT_AVRO, EVENT_SCHEMA_ID).alias("value"))
+    counted = counts.units_per_window(kafka.decode_avro(messages, EVENT_SCHEMA_ID), STATIONS)
+    written = kafka.encode_avro(counted, COUNT_SCHEMA_ID)
+    read = avro.decode(written, STATISTICS_AVRO_SCHEMA, COUNT_SCHEMA_ID)
+    return counts.in_millis(read.withColumnsRenamed({"windowStart": "window_start", "windowEnd": "window_end"}))
+
+
 @query(
     "generator_keys",
     f"WITH {STATION_EVENTS} SELECT event_id, ts, line, station, unit_id, action FROM station_events",

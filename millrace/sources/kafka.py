@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace import schemas
 from millrace.session import fresh_path
-from millrace.sources import wire
+from millrace.sources import avro, wire
 
 
 def source_options(
@@ -59,17 +59,18 @@ def copy_topic(
     return write_topic(wire.encode_generic_events(events), servers, target, checkpoint)
 
 
-def decode_avro(messages: DataFrame) -> DataFrame:
-    """Processing events from Avro values (needs the spark-avro package on the cluster)."""
-    from pyspark.sql.avro.functions import from_avro
+def decode_avro(messages: DataFrame, schema_id: int | None = None) -> DataFrame:
+    """Processing events from Avro values with a registry's header."""
+    record = avro.decode(messages.select("value"), schemas.PROCESSING_EVENT_AVRO, schema_id)
+    return wire.events_from_avro(record)
 
-    record = from_avro(F.col("value"), schemas.PROCESSING_EVENT_AVRO).alias("record")
-    return wire.events_from_avro(messages.select(record).select("record.*"))
 
+def encode_avro(statistics: DataFrame, schema_id: int) -> DataFrame:
+    """Avro values with a registry's header from window counts."""
+    records = wire.statistics_to_avro(statistics)
+    return records.select(avro.encode(records, schemas.STATISTICS_AVRO_SCHEMA, schema_id).alias("value"))
 
-def encode_avro(statistics: DataFrame) -> DataFrame:
-    """Avro values from window counts (needs the spark-avro package on the cluster)."""
-    from pyspark.sql.avro.functions import to_avro
 
-    record = F.struct(*wire.statistics_to_avro(statistics).columns)
-    return wire.statistics_to_avro(statistics).select(to_avro(record, schemas.STATISTICS_AVRO_SCHEMA).alias("value"))
+def read_avro_events(spark: SparkSession, servers: str, topic: str, schema_id: int | None = None, **kwargs) -> DataFrame:
+    """Processing events of a topic from its first message on."""
+    return decode_avro(read_topic(spark, servers, topic, **{"starting": "earliest", **kwargs}), schema_id)

@@ -32,6 +32,11 @@ def events_from_avro(record: DataFrame) -> DataFrame:
     return record.select(F.col("timestamp").alias("ts"), "line", "station", F.col("unitId").alias("unit_id"), "action")
 
 
+def events_to_avro(events: DataFrame) -> DataFrame:
+    """An Avro record's columns from those of the data model."""
+    return events.select(F.col("ts").alias("timestamp"), "line", "station", F.col("unit_id").alias("unitId"), "action")
+
+
 def statistics_to_avro(statistics: DataFrame) -> DataFrame:
     """An Avro record's columns from window counts with timestamps."""
     return statistics.select(

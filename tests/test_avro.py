@@ -1,0 +1,143 @@
+"""Avro messages against a plain writer of the format, and the messages that must fail."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.schemas import PROCESSING_EVENT_AVRO
+from millrace.sources import avro, files, kafka, wire
+from tests.conftest import at, millis
+
+FIELDS = [
+    {"name": "i", "type": "int"},
+    {"name": "n", "type": ["null", "long"]},
+    {"name": "s", "type": ["string", "null"]},
+    {"name": "flag", "type": "boolean"},
+    {"name": "e", "type": ["null", {"type": "enum", "name": "E", "symbols": ["IN", "OUT"]}]},
+    {"name": "b", "type": "bytes"},
+    {"name": "t", "type": ["null", {"type": "long", "logicalType": "timestamp-millis"}]},
+]
+RECORD = json.dumps({"type": "record", "name": "R", "fields": FIELDS})
+COLUMNS = "i INT, n BIGINT, s STRING, flag BOOLEAN, e STRING, b BINARY, t TIMESTAMP"
+
+
+def number(n: int) -> bytes:
+    z, out = n * 2 if n >= 0 else -2 * n - 1, bytearray()
+    while z > 127:
+        out.append(z % 128 + 128)
+        z //= 128
+    return bytes(out + bytes([z]))
+
+
+def text(content: bytes) -> bytes:
+    return number(len(content)) + content
+
+
+def message(i, n, s, flag, e, b, t) -> bytes:
+    body = number(i)
+    body += b"\0" if n is None else number(1) + number(n)
+    body += number(1) if s is None else b"\0" + text(s.encode())
+    body += bytes([flag])
+    body += b"\0" if e is None else number(1) + number(["IN", "OUT"].index(e))
+    body += text(b)
+    body += b"\0" if t is None else number(1) + number(millis(t))
+    return b"\0" + (9).to_bytes(4, "big") + body
+
+
+def some_rows():
+    rng = random.Random(4)
+    edges = [0, -1, 1, 63, 64, -64, -65, 8191, 8192, 2**31 - 1, -(2**31), 2**55, -(2**56), 2**62, 2**63 - 1, -(2**63)]
+    ints = [n for n in edges if -(2**31) <= n < 2**31]
+    rows = [(ints[k % len(ints)], n, "é" * (k * 9), k % 2 == 0, "IN", bytes(k), at("1969-12-31 23:59:59.999")) for k, n in enumerate(edges)]
+    rows += [(rng.choice(ints), rng.choice([None, rng.getrandbits(rng.randrange(1, 63))]), rng.choice([None, "", "x" * 300]),
+              rng.random() < 0.5, rng.choice([None, "IN", "OUT"]), rng.randbytes(rng.randrange(5)),
+              rng.choice([None, at("2026-01-30 12:00:00.123")])) for _ in range(60)]
+    return [*rows, (0, None, None, False, None, b"", None), (1, 5, "long " * 40_000, True, "OUT", b"\0" * 20_000, None)]
+
+
+def test_messages_equal_those_of_a_plain_writer(spark):
+    rows = some_rows()
+    frame = spark.createDataFrame(rows, COLUMNS).withColumn("value", F.lit("other column"))
+    sent = frame.select(avro.encode(frame, RECORD, 9).alias("m")).collect()
+    assert [bytes(r.m) for r in sent] == [message(*r) for r in rows]
+
+
+def test_plain_messages_are_read(spark):
+    rows = some_rows()
+    messages = spark.createDataFrame([(k, bytearray(message(*r))) for k, r in enumerate(rows)] + [(-1, None)], "key INT, value BINARY")
+    got = {r.key: tuple(r)[1:] for r in avro.decode(messages, RECORD, 9).collect()}
+    assert got.pop(-1) == (None,) * 7
+    assert [got[k] for k in range(len(rows))] == rows
+
+
+def test_a_filter_does_not_repeat_the_reading(spark):
+    messages = spark.createDataFrame([(bytearray(message(*some_rows()[0])),)], "value BINARY")
+    read = avro.decode(messages, RECORD)
+    def size(df):
+        return len(df._jdf.queryExecution().optimizedPlan().toString())
+    assert size(read.where("s is not null and b is not null and t > '1970-01-01'")) < 1.2 * size(read)
+
+
+def test_reader_and_writer_differ(spark):
+    rows = some_rows()
+    messages = spark.createDataFrame([(bytearray(message(*r)),) for r in rows], "value BINARY")
+    newer = {"type": "record", "name": "R", "fields": [
+        {"name": "added", "type": ["null", "string"], "default": None}, {"name": "level", "type": "int", "default": 3}, FIELDS[3],
+        {"name": "i", "type": "long"}]}
+    got = avro.decode(messages, RECORD, reader=json.dumps(newer))
+    assert got.dtypes == [("added", "string"), ("level", "int"), ("flag", "boolean"), ("i", "bigint")]
+    assert [tuple(r) for r in got.collect()] == [(None, 3, r[3], r[0]) for r in rows]
+    newer["fields"].append({"name": "wanted", "type": "int"})
+    with pytest.raises(ValueError, match="wanted"):
+        avro.decode(messages, RECORD, reader=json.dumps(newer))
+
+
+GOOD = message(*some_rows()[5])
+BAD = {
+    "first byte": b"\1" + GOOD[1:],
+    "other id": GOOD[:4] + b"\7" + GOOD[5:],
+    "empty": b"",
+    "header only": GOOD[:5],
+    "cut": GOOD[:-1],
+    "cut text": GOOD[:12],
+    "longer": GOOD + b"\0",
+    "endless number": GOOD[:5] + b"\xff" * 12,
+}
+
+
+@pytest.mark.parametrize("fault", BAD)
+def test_faulty_messages_fail(spark, fault):
+    messages = spark.createDataFrame([(bytearray(BAD[fault]),)], "value BINARY")
+    with pytest.raises(Exception, match="message"):
+        avro.decode(messages, RECORD, 9).collect()
+
+
+@pytest.mark.parametrize("row", [(None, 1, "", True, "IN", b"", None), (1, 1, "", None, "IN", b"", None), (1, 1, "", True, "UP", b"", None)])
+def test_values_that_the_schema_lacks_fail(spark, row):
+    frame = spark.createDataFrame([row], COLUMNS)
+    with pytest.raises(Exception, match="null where|no such symbol"):
+        frame.select(avro.encode(frame, RECORD, 9)).collect()
+
+
+@pytest.mark.parametrize("kind", ["float", {"type": "array", "items": "int"}, ["null", "int", "string"]])
+def test_types_that_are_not_read(kind):
+    with pytest.raises(ValueError):
+        avro.fields(json.dumps({"type": "record", "name": "R", "fields": [{"name": "x", "type": kind}]}))
+
+
+def test_no_messages(spark):
+    none = spark.createDataFrame([], "value BINARY")
+    assert avro.decode(none, RECORD).collect() == []
+
+
+def test_events_as_a_stream_of_messages(spark, tmp_path):
+    rows = [(at("2026-01-30 12:00:00.5"), 1, 2, 2**40, "IN"), (at("2026-01-30 12:00:01"), 0, 0, 3, "OUT")]
+    events = spark.createDataFrame(rows, "ts TIMESTAMP, line INT, station INT, unit_id BIGINT, action STRING")
+    records = wire.events_to_avro(events)
+    records.select(avro.encode(records, PROCESSING_EVENT_AVRO, 1).alias("value")).write.parquet(str(tmp_path / "in"))
+    stream = files.watch_parquet(spark, str(tmp_path / "in"), "value BINARY")
+    assert sorted(map(tuple, files.run_to_table(kafka.decode_avro(stream, 1)).collect())) == sorted(rows)
