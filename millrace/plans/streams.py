@@ -29,7 +29,7 @@ from millrace.plans.catalog import (
     _report_sql,
     query,
 )
-from millrace.session import fresh_path
+from millrace.session import evolvable, fresh_path
 from millrace.sources.files import run_fed, run_to_end, run_to_table, watch_parquet
 from millrace.streaming import joins, micro, state, stations, windows
 
@@ -326,3 +326,86 @@ JOIN (WITH {STATION_EVENTS} {_COUNTS}) c ON r.line = c.line AND r.station = c.st
 def state_resumed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = _counted(spark, sf_dir)
     return run_to_table(state.resume_as_report(station_events(spark, sf_dir), checkpoint, "event_id"))
+
+
+_VISITOR_STEPS = f"""{VISITOR_EVENTS},
+steps AS (
+  SELECT *, lag(action) OVER v AS last_action, lag(ts) OVER v AS last_ts, lead(action) OVER v AS next_action FROM visitor_events
+  WINDOW v AS (PARTITION BY line, station, unit_id ORDER BY ts, event_id))"""
+_KEY = """'{"line":' || line || ',"station":' || station || '}' AS key"""
+
+
+@query(
+    "state_dump",
+    f"""WITH {_VISITOR_STEPS},
+stats AS (
+  SELECT line, station, count(*) AS n, min({_ms('ts')} - {_ms('last_ts')}) AS low, max({_ms('ts')} - {_ms('last_ts')}) AS high
+  FROM steps WHERE action = 'OUT' AND last_action = 'IN' GROUP BY line, station)
+SELECT 'stationStats' AS variable, {_KEY}, CAST(NULL AS VARCHAR) AS entry,
+       '{{"unit_count":' || n || ',"min_duration_ms":' || low || ',"max_duration_ms":' || high || '}}' AS value
+FROM stats
+UNION ALL
+SELECT 'inProgress', {_KEY}, '{{"unit_id":' || unit_id || '}}', '{{"arrival_ms":' || {_ms('ts')} || '}}'
+FROM steps WHERE action = 'IN' AND next_action IS NULL""",
+)
+def state_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All variables of a stopped station report."""
+    checkpoint = fresh_path(spark, "report")
+    run_to_table(stations.station_report(visitor_events(spark, sf_dir), "event_id"), checkpoint=checkpoint)
+    return state.dump(spark, checkpoint).select("variable", "key", "entry", "value")
+
+
+def _fed(spark: SparkSession, sf_dir: str, blocks: list[str], build: Callable[[DataFrame], DataFrame], checkpoint: str) -> DataFrame:
+    """Run ``build`` over the parts of the table that the conditions name, one after the other."""
+    table = spark.read.schema(views.TABLES["events"]).parquet(f"{sf_dir}/events.parquet")
+    folder, events = _input(spark)
+    feeds = [lambda c=c: table.where(c).write.mode("append").parquet(folder) for c in blocks]
+    return run_fed(build(events), feeds, checkpoint)[0]
+
+
+# The table's month in three parts; the first micro-batch is that of the empty folder.
+_THIRDS = "(day(ts) - 1) {div} 11"
+
+
+@query(
+    "state_changes",
+    f"""WITH {STATION_EVENTS},
+counts AS (
+  SELECT {_THIRDS.format(div="//")} AS third, line, station, count(*) AS n
+  FROM station_events WHERE action = 'OUT' GROUP BY ALL)
+SELECT third + 1 AS batch_id, 'update' AS change_type, {_KEY},
+       '{{"unit_count":' || CAST(sum(n) OVER (PARTITION BY line, station ORDER BY third) AS BIGINT) || '}}' AS value
+FROM counts""",
+)
+def state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch of a running count wrote."""
+    checkpoint = fresh_path(spark, "counts")
+    thirds = [f"{_THIRDS.format(div='DIV')} = {i}" for i in range(3)]
+    _fed(spark, sf_dir, thirds, lambda events: stations.running_station_count(views.as_station_events(events)), checkpoint)
+    return state.changes(spark, checkpoint).select("batch_id", "change_type", "key", "value")
+
+
+# The report without average runs until then, that with it from then on.
+_UPGRADE = "TIMESTAMP '2024-01-16 00:00:00'"
+
+
+@query(
+    "state_evolved_report",
+    f"""WITH {_VISITOR_STEPS},
+durations AS (SELECT *, {_ms('ts')} - {_ms('last_ts')} AS d FROM steps WHERE action = 'OUT' AND last_action = 'IN')
+SELECT line, station, count(*) OVER w AS unit_count, min(d) OVER w AS min_duration_ms, max(d) OVER w AS max_duration_ms,
+       round(avg(d) FILTER (WHERE ts >= {_UPGRADE}) OVER w, {AVERAGE_DIGITS}) AS avg_duration_ms
+FROM durations WINDOW w AS (PARTITION BY line, station ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
+)
+def state_evolved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report whose stored values get two more fields between two runs of one checkpoint."""
+    table = spark.read.schema(views.TABLES["events"]).parquet(f"{sf_dir}/events.parquet")
+    folder, events = _input(spark)
+    visitors, checkpoint = views.as_visitor_events(events), fresh_path(spark, "report")
+    upgrade = F.expr(_UPGRADE).cast("timestamp_ntz")
+    with evolvable(spark):
+        table.where(F.col("ts") < upgrade).write.mode("append").parquet(folder)
+        run_to_table(stations.station_report(visitors, "event_id"), checkpoint=checkpoint)
+        table.where(F.col("ts") >= upgrade).write.mode("append").parquet(folder)
+        report = run_to_table(stations.station_report(visitors, "event_id", evolved=True), checkpoint=checkpoint)
+    return report.withColumn("avg_duration_ms", F.round("avg_duration_ms", AVERAGE_DIGITS))

@@ -6,11 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+STATE_ENCODING = "spark.sql.streaming.stateStore.encodingFormat"
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -60,6 +63,20 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def evolvable(spark: SparkSession) -> Iterator[SparkSession]:
+    """Queries started within keep state whose values can get more fields later. A checkpoint stays with its encoding."""
+    before = spark.conf.get(STATE_ENCODING, None)
+    spark.conf.set(STATE_ENCODING, "avro")
+    try:
+        yield spark
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_ENCODING)
+        else:
+            spark.conf.set(STATE_ENCODING, before)
+
+
 def local_session(cores: str = "8", app: str = "millrace") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

@@ -114,13 +114,15 @@ class Losses(StreamingQueryListener):
         return self.rows[run]
 
 
-def run_fed(stream: DataFrame, feeds: Iterable[Callable[[], None]]) -> tuple[DataFrame, int]:
+def run_fed(
+    stream: DataFrame, feeds: Iterable[Callable[[], None]], checkpoint: str | None = None
+) -> tuple[DataFrame, int]:
     """Process all input there is, then call the ``feeds`` one by one, each of which adds input, and process that.
 
     Returns the result and the number of rows that were dropped behind a watermark.
     """
     spark = stream.sparkSession
-    checkpoint = fresh_path(spark, "query")
+    checkpoint = checkpoint or fresh_path(spark, "query")
     folder = f"{checkpoint}-table"
     losses = Losses()
     spark.streams.addListener(losses)

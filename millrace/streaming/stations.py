@@ -85,7 +85,7 @@ class DurationReport(StatefulProcessor):
         duration = batch.loc[done, "ms"].to_numpy() - arrival[done].to_numpy(dtype="int64")
         if not len(duration):
             return
-        count, low, high = self.stats.get() if self.stats.exists() else (0, None, None)
+        count, low, high, timed, total = self._known()
         lows = np.minimum.accumulate(duration)
         highs = np.maximum.accumulate(duration)
         report = pd.DataFrame(
@@ -97,15 +97,23 @@ class DurationReport(StatefulProcessor):
                 "max_duration_ms": highs if high is None else np.maximum(highs, high),
             }
         )
-        last = report.iloc[-1]
-        self.stats.update((int(last["unit_count"]), int(last["min_duration_ms"]), int(last["max_duration_ms"])))
+        totals = total + np.cumsum(duration)
         if self.average:
-            timed, total = self.totals.get() if self.totals.exists() else (0, 0)
-            totals = total + np.cumsum(duration)
             report["avg_duration_ms"] = totals / (timed + np.arange(1, len(duration) + 1))
-            self.totals.update((timed + len(duration), int(totals[-1])))
+        last = report[["unit_count", "min_duration_ms", "max_duration_ms"]].iloc[-1]
+        self._keep((*map(int, last), timed + len(duration), int(totals[-1])))
         yield report
 
+    def _known(self) -> tuple:
+        """Count, shortest and longest time, and the number and sum of the times whose total is kept."""
+        stats = self.stats.get() if self.stats.exists() else (0, None, None)
+        return (*stats, *(self.totals.get() if self.average and self.totals.exists() else (0, 0)))
+
+    def _keep(self, known: tuple) -> None:
+        self.stats.update(known[:3])
+        if self.average:
+            self.totals.update(known[3:])
+
     def _arrivals(self, batch: pd.DataFrame) -> pd.Series:
         """Per row the time of the unit's IN just before it (nullable), with the map state brought up to date."""
         previous = batch.groupby("unit_id", sort=False)[["action", "ms"]].shift()
@@ -127,21 +135,51 @@ class DurationReport(StatefulProcessor):
         pass
 
 
+class EvolvedReport(DurationReport):
+    """The report with its average, the total being two more fields of the value that the report without it keeps.
+
+    A value that was written without these fields gives them as null; the average then begins with the first time after it.
+    Spark reads such values only from state that is encoded as Avro (``session.evolvable``), also in the query that wrote them.
+    """
+
+    def __init__(self) -> None:
+        super().__init__(average=True)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stats = handle.getValueState(
+            STATS_STATE,
+            "unit_count BIGINT, min_duration_ms BIGINT, max_duration_ms BIGINT, timed BIGINT, duration_ms BIGINT",
+        )
+        self.inside = handle.getMapState(INSIDE_STATE, "unit_id BIGINT", "arrival_ms BIGINT")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.stats.update((int(initialState["unit_count"].iloc[0]), None, None, 0, 0))
+
+    def _known(self) -> tuple:
+        count, low, high, timed, total = self.stats.get() if self.stats.exists() else (0, None, None, 0, 0)
+        return count, low, high, timed or 0, total or 0
+
+    def _keep(self, known: tuple) -> None:
+        self.stats.update(known)
+
+
 def station_report(
     events: DataFrame,
     tie: str | None = None,
     average: bool = False,
     initial_counts: DataFrame | None = None,
+    evolved: bool = False,
 ) -> DataFrame:
     """Each OUT event with a known IN gives its station's report; an OUT without IN is skipped.
 
-    ``initial_counts`` (line, station, unit_count) continues the counts of an earlier query.
+    ``initial_counts`` (line, station, unit_count) continues the counts of an earlier query. With ``evolved`` the average is
+    kept in the same variable as the rest (``EvolvedReport``).
     """
     rows = events.select(*LINE_STATION, "unit_id", "action", micros().alias("us"), tie_column(tie).alias("tie"))
     initial: GroupedData | None = initial_counts and initial_counts.groupBy(*LINE_STATION)
     return rows.groupBy(*LINE_STATION).transformWithStateInPandas(
-        DurationReport(average),
-        STATION_AVERAGE if average else STATION_REPORT,
+        EvolvedReport() if evolved else DurationReport(average),
+        STATION_AVERAGE if average or evolved else STATION_REPORT,
         "append",
         "none",
         initialState=initial,
