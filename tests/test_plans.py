@@ -13,6 +13,8 @@ from millrace.operators import asof, counts, durations, pairing
 from millrace.plans.energy import energy_per_unit
 from tests.conftest import SF_DIR
 
+# Aggregates of one's own add and merge in Python.
+OWN_AGGREGATES = {"busy_time_per_day"}
 BATCH = [n for n in catalog.QUERIES if not n.startswith(("stream_", "state_"))]
 
 
@@ -28,6 +30,7 @@ def exchanges(df) -> int:
 def test_batch_queries_stay_in_the_jvm(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert not re.search(r"Python|Pandas|ArrowEval|CartesianProduct|NestedLoop", text)
+    assert ("InArrow" in text) == (name in OWN_AGGREGATES)
 
 
 def test_exchanges(spark):
