@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.records import energy
 from millrace.operators import counts as batch_counts
+from millrace.operators import rows
 from millrace.plans import views
 from millrace.plans.catalog import (
     AVERAGE_DIGITS,
@@ -30,7 +31,7 @@ from millrace.plans.catalog import (
     query,
 )
 from millrace.session import evolvable, fresh_path
-from millrace.sources.files import run_fed, run_to_end, run_to_table, watch_parquet
+from millrace.sources.files import run_fed, run_to_branches, run_to_end, run_to_table, watch_parquet
 from millrace.streaming import joins, micro, state, stations, windows
 
 # The id of the row that ends an input. As a reading or a visitor it has negative keys, as no other row has.
@@ -290,6 +291,20 @@ def stream_inactivity_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _to_the_end(spark, sf_dir, sessions)
 
 
+@query(
+    "stream_fan_out_two_branches",
+    """SELECT event_id, 'bar' AS event_type, 'bar' AS branch FROM events
+UNION ALL SELECT event_id, 'baz', 'baz' FROM events""",
+)
+def stream_fan_out_two_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sinks of one stream, each of which still sees what was set before the fork."""
+    events = rows.set_constant(watched_events(spark, sf_dir).select("event_id", "event_type"), "event_type", "foo")
+    branches = {name: lambda batch, n=name: rows.expect_then_set(batch, "event_type", "foo", n) for name in ("bar", "baz")}
+    tables = run_to_branches(events, branches)
+    bar, baz = (table.withColumn("branch", F.lit(name)) for name, table in tables.items())
+    return bar.unionByName(baz)
+
+
 # --- State -----------------------------------------------------------------------------------------------------------
 
 

@@ -63,6 +63,32 @@ def to_batches(
     return _writer(stream, checkpoint).foreachBatch(handle).start()
 
 
+def run_to_branches(
+    stream: DataFrame, branches: dict[str, Callable[[DataFrame], DataFrame]], checkpoint: str | None = None
+) -> dict[str, DataFrame]:
+    """Process all input there is; each branch makes its own rows of every micro-batch, which go to its own table.
+
+    A micro-batch writes to its own folder of each table and replaces what a failed attempt left there, so a restart with the
+    same checkpoint neither loses nor repeats rows. Each branch reads the micro-batch for itself; nothing is held in memory.
+    """
+    spark = stream.sparkSession
+    checkpoint = checkpoint or fresh_path(spark, "query")
+    tables = {name: f"{checkpoint}-{name}" for name in branches}
+    empty = spark.createDataFrame([], stream.schema)
+    schemas = {name: branch(empty).schema for name, branch in branches.items()}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        for name, branch in branches.items():
+            branch(batch).write.mode("overwrite").parquet(f"{tables[name]}/batch_id={batch_id}")
+
+    query = _writer(stream, checkpoint).foreachBatch(write).trigger(availableNow=True).start()
+    query.awaitTermination()
+    for name, schema in schemas.items():
+        # A branch that got no micro-batch has a table, too.
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{tables[name]}/batch_id=-1")
+    return {name: spark.read.schema(schemas[name]).parquet(path).drop("batch_id") for name, path in tables.items()}
+
+
 def run_to_table(stream: DataFrame, folder: str | None = None, checkpoint: str | None = None) -> DataFrame:
     """Process all input there is, write the result to the shared folder and return it as a table.
 

@@ -55,6 +55,31 @@ def test_fan_out_of_a_stream_into_two_sinks(player, tmp_path):
     assert sorted(seen) == ["bar", "bar", "baz", "baz"]
 
 
+def test_branches_of_a_stream_have_their_own_tables(spark, tmp_path):
+    from millrace.sources import files
+
+    (tmp_path / "in").mkdir()
+    stream = files.watch_json(spark, str(tmp_path / "in"), "id BIGINT, v STRING", max_files=1)
+    branches = {"large": lambda b: b.where("id > 1"), "names": lambda b: b.select(F.upper("v").alias("name"))}
+    checkpoint = str(tmp_path / "c")
+
+    def run():
+        tables = files.run_to_branches(stream, branches, checkpoint)
+        return [sorted(tuple(r) for r in tables[n].collect()) for n in ("large", "names")]
+
+    assert run() == [[], []]
+    for i, v in enumerate(["a", "b", "b"]):
+        (tmp_path / "in" / f"{i}.json").write_text(f'{{"id": {i}, "v": "{v}"}}')
+    both = [[(2, "b")], [("A",), ("B",), ("B",)]]
+    assert run() == both and run() == both
+
+    # A micro-batch that was written, but not noted as done, is written once more and counts once.
+    last = max((tmp_path / "c" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for name in (last.name, f".{last.name}.crc"):
+        (last.parent / name).unlink(missing_ok=True)
+    assert run() == both
+
+
 def test_filters(spark):
     data = [(at("2026-01-30 12:00:00"), 0, s, 1, a) for s in (0, 1) for a in ("IN", "OUT")]
     events = spark.createDataFrame(data, PROCESSING_EVENT)
