@@ -22,9 +22,10 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from millrace.session import shared_folder
+from millrace.session import PARTITIONS, shared_folder
 
-ROWS_PER_SLICE = 4_000_000
+# What a task sorts is some slices; at half a kB a row for two sorts, 250,000 rows are 125 MB.
+ROWS_PER_SLICE = 250_000
 SAMPLES_PER_SLICE = 16
 # A table of this many short rows is some tens of MB; above it the joins are left to shuffle.
 MAX_BROADCAST_ROWS = 500_000
@@ -239,8 +240,12 @@ def scan(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], folds: Sequence[Fold], cuts: Cuts | None
 ) -> DataFrame:
     """``df`` with one column per fold, computed over each key's rows in ``order``."""
-    rows = df if cuts is None else with_slice(df, keys, order, cuts)
-    part = [*keys] if cuts is None else [*keys, SLICE]
+    rows, part = df, [*keys]
+    if cuts is not None:
+        # At least a partition per slice, however few the session's setting gives; they are not merged again.
+        part = [*keys, SLICE]
+        partitions = max(cuts.total, int(df.sparkSession.conf.get(PARTITIONS)))
+        rows = with_slice(df, keys, order, cuts).repartition(partitions, *part)
     ascending = Window.partitionBy(*part).orderBy(*order)
     descending = Window.partitionBy(*part).orderBy(*[F.col(c).desc() for c in order])
     local = rows.select("*", *[f.local(descending if f.backward else ascending).alias(f.name) for f in folds])

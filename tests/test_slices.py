@@ -136,3 +136,14 @@ def test_large_cut_tables_are_not_broadcast(spark, monkeypatch):
         assert {r["id"]: r["n"] for r in got.collect()} == {i: v[0] for i, v in brute_force(skewed_rows()).items()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_key_of_a_million_rows_is_no_task_of_its_own(spark):
+    """With the session's two partitions, too: what a task sorts doesn't grow with a key."""
+    rows = spark.range(1_200_000).select(F.lit(1).alias("k"), F.col("id").alias("t"), "id")
+    cuts = slices.find_cuts(rows, KEYS, ORDER)
+    counted = slices.scan(rows, KEYS, ORDER, [slices.running_count("n")], cuts)
+    assert counted.where("n <> id + 1").isEmpty()
+    sizes = counted.groupBy(F.spark_partition_id().alias("p")).count().toPandas()["count"]
+    assert sizes.sum() == 1_200_000
+    assert sizes.max() <= 800_000
