@@ -77,6 +77,18 @@ def evolvable(spark: SparkSession) -> Iterator[SparkSession]:
             spark.conf.set(STATE_ENCODING, before)
 
 
+@contextmanager
+def few_partitions(spark: SparkSession, most: int) -> Iterator[SparkSession]:
+    """Streaming queries started within have at most so many partitions, as each costs a store and a Python worker in every
+    micro-batch; with few keys more of them only stay empty."""
+    before = spark.conf.get(PARTITIONS)
+    spark.conf.set(PARTITIONS, str(min(most, int(before))))
+    try:
+        yield spark
+    finally:
+        spark.conf.set(PARTITIONS, before)
+
+
 def local_session(cores: str = "8", app: str = "millrace") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (

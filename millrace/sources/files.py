@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
-from millrace.session import fresh_path
+from millrace.session import few_partitions, fresh_path
 from millrace.sources.wire import PROCESSING_EVENT_WIRE, processing_events
 
 
@@ -141,11 +142,12 @@ class Losses(StreamingQueryListener):
 
 
 def run_fed(
-    stream: DataFrame, feeds: Iterable[Callable[[], None]], checkpoint: str | None = None
+    stream: DataFrame, feeds: Iterable[Callable[[], None]], checkpoint: str | None = None, partitions: int | None = None
 ) -> tuple[DataFrame, int]:
     """Process all input there is, then call the ``feeds`` one by one, each of which adds input, and process that.
 
-    Returns the result and the number of rows that were dropped behind a watermark.
+    Returns the result and the number of rows that were dropped behind a watermark. ``partitions`` bounds those of the query's
+    state, the feeds keep the session's.
     """
     spark = stream.sparkSession
     checkpoint = checkpoint or fresh_path(spark, "query")
@@ -153,7 +155,9 @@ def run_fed(
     losses = Losses()
     spark.streams.addListener(losses)
     try:
-        query = _writer(stream, checkpoint).format("parquet").start(folder)
+        writer = _writer(stream, checkpoint).format("parquet")
+        with nullcontext() if partitions is None else few_partitions(spark, partitions):
+            query = writer.start(folder)
         try:
             query.processAllAvailable()
             for feed in feeds:
@@ -167,12 +171,12 @@ def run_fed(
     return spark.read.schema(stream.schema).parquet(folder), lost
 
 
-def run_to_end(stream: DataFrame, end: Callable[[], None]) -> DataFrame:
+def run_to_end(stream: DataFrame, end: Callable[[], None], partitions: int | None = None) -> DataFrame:
     """Process all input there is, call ``end``, which adds the row that ends the input, process that, and return the result.
 
     A row that the watermark dropped makes it fail: what comes back would not be the result of the input.
     """
-    result, lost = run_fed(stream, [end])
+    result, lost = run_fed(stream, [end], partitions=partitions)
     if lost:
         raise DroppedRows(f"{lost} rows were behind the watermark")
     return result

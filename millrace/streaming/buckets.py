@@ -6,15 +6,29 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming import StatefulProcessorHandle
 
 BUCKET_SECONDS = 60
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(rows, preserve_index=False).replace_schema_metadata()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> pa.Table:
+    return pa.ipc.open_stream(held).read_all()
+
+
 class Buckets:
     """Frames with a column ``us`` (event time in microseconds), cut by time and kept in a map state.
 
-    What arrives of a bucket in one go is one entry of the map; an index in a value state tells each entry's bucket and first
+    What arrives of a bucket in one go is one entry of the map, written as Arrow: one value that the state server passes on as
+    it is, while arrays would be converted element by element, both ways. An index in a value state tells each entry's bucket and first
     and last time. Adding rows writes entries and reads none. Taking rows reads the entries that begin by then, and of these
     only one bucket can hold later rows, which are written back. So a micro-batch costs what arrives and what is due, however
     much waits; the index grows with the number of entries that wait, not with their rows.
@@ -25,8 +39,7 @@ class Buckets:
         columns = [field.split() for field in fields.split(",")]
         self.columns = [name for name, _ in columns]
         self.width_us = width_us
-        arrays = ", ".join(f"{column} ARRAY<{kind}>" for column, kind in columns)
-        self.entries = handle.getMapState(name, "bucket BIGINT, entry BIGINT", arrays)
+        self.entries = handle.getMapState(name, "bucket BIGINT, entry BIGINT", "rows BINARY")
         index = "bucket ARRAY<BIGINT>, entry ARRAY<BIGINT>, first_us ARRAY<BIGINT>, last_us ARRAY<BIGINT>"
         self.index_state = handle.getValueState(f"{name}Index", index)
 
@@ -54,10 +67,8 @@ class Buckets:
         cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(us)]
         number = max((entry for _, entry, _, _ in self.index), default=-1) + 1
         for begin, end in zip(cuts, cuts[1:], strict=False):
-            part = rows.iloc[begin:end]
-            plain = [part[c].astype(object).where(part[c].notna(), None).tolist() for c in self.columns]
             key = (int(buckets[begin]), number)
-            self.entries.updateValue(key, tuple(plain))
+            self.entries.updateValue(key, (_packed(rows.iloc[begin:end][self.columns]),))
             self.index.append((*key, int(us[begin]), int(us[end - 1])))
             number += 1
 
@@ -65,9 +76,10 @@ class Buckets:
         return min((first for _, _, first, _ in self.index), default=None)
 
     def _read(self, some: Sequence[tuple]) -> pd.DataFrame:
-        held = [self.entries.getValue((bucket, entry)) for bucket, entry, _, _ in some]
-        data = {c: [v for value in held for v in value[i]] for i, c in enumerate(self.columns)}
-        return pd.DataFrame(data, columns=self.columns).astype({"us": "int64"})
+        if not some:
+            return pd.DataFrame(columns=self.columns).astype({"us": "int64"})
+        held = [_unpacked(self.entries.getValue((bucket, entry))[0]) for bucket, entry, _, _ in some]
+        return pa.concat_tables(held, promote_options="permissive").to_pandas()
 
     def _remove(self, some: Sequence[tuple]) -> None:
         for bucket, entry, _, _ in some:

@@ -216,3 +216,28 @@ def test_a_loss_is_seen_however_many_reports_follow(spark, tmp_path):
         assert lost == 1 and result.count() == 2
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+
+
+def test_an_entry_is_one_value_and_keeps_nulls():
+    state = Held()
+    held = Buckets(state, "x", "us BIGINT, tie BIGINT, name STRING, value DOUBLE", 10)
+    held.load()
+    held.add(pd.DataFrame({"us": [3, 1], "tie": [2**60 + 1, 5], "name": [None, "a"], "value": [float("nan"), 0.5]}))
+    held.add(pd.DataFrame({"us": [2], "tie": [7], "name": [None], "value": [None]}))
+    assert all(isinstance(value, tuple) and [type(v) for v in value] == [bytes] for value in state.values.values())
+    (got,) = held.take(9)
+    got = got.sort_values("us")
+    assert got["us"].tolist() == [1, 2, 3] and got["tie"].tolist() == [5, 7, 2**60 + 1]
+    assert got["name"].isna().tolist() == [False, True, True]
+    assert got["value"].isna().tolist() == [False, True, True]
+
+
+def test_state_has_no_more_partitions_than_asked_for(spark, tmp_path):
+    folder, checkpoint = str(tmp_path / "in"), tmp_path / "checkpoint"
+    spark.range(9).write.parquet(folder)
+    distinct = spark.readStream.schema("id BIGINT").parquet(folder).dropDuplicates(["id"])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    result, _ = files.run_fed(distinct, [], str(checkpoint), partitions=1)
+    assert result.count() == 9
+    assert sorted(p.name for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()) == ["0"]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before == "2"
