@@ -3,12 +3,13 @@
 1. ``encode`` turns each vector by fixed random signs and Walsh-Hadamard transforms and stores ``LEVELS`` one-bit codes: the
    signs of the turned vector, then those of what the code leaves over, and so on. With each code its alignment is kept
    (the inner product of code and vector), and at the end the length of what is left over.
-2. An anchor is turned the same way and rounded to ``PLANES`` bits a component. Its inner product with a coded vector is then
-   a sum of popcounts of code and bit planes.
-3. By Cauchy-Schwarz the true product differs from that estimate by at most (length left over) x (anchor's length) + (coded
-   vector's length) x (rounding error's length). No probability is involved: a pair is dropped only where its interval
-   shows that it can't be among the first.
-4. Pairs whose interval reaches the current threshold are scored with the integer vectors.
+2. An anchor is turned the same way. Its inner product with a coded vector is the sum of those with the signs of each code
+   times their alignment: one matrix product for a block of anchors and the decoded codes of a block of rows.
+3. By Cauchy-Schwarz the true product differs from that estimate by at most (length left over) x (anchor's length). No
+   probability is involved: a pair is dropped only where its interval shows that it can't be among the first. The matrix product
+   is in single precision, for which the intervals have room, and holds their upper ends at once (``Queries.reach``).
+4. Pairs whose interval reaches the current threshold are scored with the integer vectors. The first of each group stand in a
+   table; what is new is ordered with those of its own groups only (``Best``).
 
 Anchors are dealt into blocks of about ``ANCHORS`` and rows into blocks; every block of anchors meets every block of rows
 once, in a task that holds one block of anchors and a batch of rows. A task passes on only the first few of each
@@ -36,11 +37,11 @@ from millrace.llm.common import settle
 POSITIVES, NEGATIVES = 5, 3
 LOW_PERCENT, HIGH_PERCENT = 50, 95
 SCALE = 256
-LEVELS, PLANES = 4, 6
+LEVELS = 4
 ANCHORS = 16_384
 ROWS = 100_000
 # Rows and anchors that meet in one step.
-ROW_STEP, ANCHOR_STEP = 1024, 128
+ROW_STEP, ANCHOR_STEP = 1024, 256
 
 _ENCODED = "vec_id long, label long, anchor boolean, x binary, codes binary, align binary"
 
@@ -81,54 +82,65 @@ def coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(codes, axis=1), np.stack([*align, *lengths], axis=1)
 
 
+def decoded(codes: np.ndarray, align: np.ndarray) -> np.ndarray:
+    """The turned vectors that codes and alignments stand for."""
+    n = 64 * codes.shape[2]
+    made = np.zeros((len(codes), n))
+    for level in range(LEVELS):
+        bits = np.unpackbits(np.ascontiguousarray(codes[:, level]).view(np.uint8), axis=1, bitorder="little")
+        made += (2.0 * bits - 1) * (align[:, level] / np.sqrt(n))[:, None]
+    return made
+
+
 class Queries:
-    """A block of anchors: integer vectors and bit planes."""
+    """A block of anchors: integer vectors, and turned ones with their length behind them."""
 
     def __init__(self, x: np.ndarray) -> None:
         self.x = x
-        n = x.shape[1]
+        self.n = x.shape[1]
         q = turned(x)
-        low = q.min(axis=1)
-        step = (q.max(axis=1) - low) / (2**PLANES - 1)
-        step[step == 0] = 1
-        levels = np.rint((q - low[:, None]) / step[:, None]).astype(np.int64)
-        rounded = low[:, None] + step[:, None] * levels
-        self.planes = [_words((levels >> j) & 1 == 1) for j in range(PLANES)]
-        self.low, self.step, self.total = low, step, rounded.sum(axis=1)
-        self.length, self.error = np.linalg.norm(q, axis=1), np.linalg.norm(q - rounded, axis=1)
-        self.n = n
+        self.length = np.linalg.norm(q, axis=1)
+        self.q = np.column_stack([q, self.length])
+        # Products of longer vectors could be too large for single precision.
+        self.short = self.q.astype(np.float32) if self.length.max(initial=0) < 1e15 else None
+
+    def open(self, codes: np.ndarray, align: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Decoded rows with half the width of their intervals, as a multiple of the anchor's length, behind them; the halves."""
+        length, left = align[:, -2], align[:, -1]
+        # Far more than single precision can be off in a sum of so many products.
+        half = left + (self.n + 16) * 2.0**-22 * (left + length)
+        return np.column_stack([decoded(codes, align), half]), half
+
+    def reach(self, at: slice | np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Upper ends of the intervals of the anchors ``at`` and opened rows, but for ``FREE``."""
+        if self.short is None or np.abs(rows).max(initial=0) >= 1e15:
+            return self.q[at] @ rows.T
+        return self.short[at] @ rows.astype(np.float32).T
 
     def interval(self, at: np.ndarray, codes: np.ndarray, align: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bounds of the inner products of the anchors ``at`` with coded rows."""
-        estimate = np.zeros((len(at), len(codes)))
-        for level in range(LEVELS):
-            dots = np.zeros(estimate.shape, np.int64)
-            ones = np.zeros(len(codes), np.int64)
-            for word in range(codes.shape[2]):
-                code = codes[:, level, word]
-                ones += np.bitwise_count(code)
-                for j, plane in enumerate(self.planes):
-                    dots += np.bitwise_count(code[None, :] & plane[at, word][:, None]).astype(np.int64) << j
-            product = 2 * (self.low[at][:, None] * ones + self.step[at][:, None] * dots) - self.total[at][:, None]
-            estimate += product * (align[:, level] / np.sqrt(self.n))
-        length, left = align[:, -2], align[:, -1]
-        most = self.length[at][:, None] * left + self.error[at][:, None] * length
-        # Far more than floating point can be off.
-        most += 1e-3 + 1e-9 * self.length[at][:, None] * (length + left)
-        return estimate - most, estimate + most
+        rows, half = self.open(codes, align)
+        high = self.reach(at, rows).astype(np.float64) + FREE
+        return high - 2 * (self.length[at][:, None] * half + FREE), high
 
     def scores(self, at: np.ndarray, rows: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Positions in ``at`` and ``rows`` where ``mask`` holds, and the exact inner products there."""
-        i, j = np.nonzero(mask)
+        i, j = _places(mask)
+        return i, j, self.products(at, rows, i, j)
+
+    def products(self, at: np.ndarray, rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The exact inner products of the anchors ``at[i]`` and ``rows[j]``."""
         a, b = self.x[at], rows
         if len(a) and len(b) and np.abs(a).max() * np.abs(b).max() * self.n >= 2**53:
-            exact = [sum(int(u) * int(v) for u, v in zip(a[p], b[q], strict=True)) for p, q in zip(i, j, strict=True)]
-            return i, j, np.array(exact, np.int64)
-        if 8 * len(i) > mask.size:
-            found = (a @ b.T)[i, j]
-        else:
-            found = np.einsum("ij,ij->i", a[i], b[j])
-        return i, j, found.astype(np.int64)
+            return np.array([sum(int(u) * int(v) for u, v in zip(a[p], b[q], strict=True)) for p, q in zip(i, j, strict=True)], np.int64)
+        if 20 * len(i) > len(a) * len(b):
+            return (a @ b.T).ravel()[i * len(b) + j].astype(np.int64)
+        return np.einsum("ij,ij->i", a[i], b[j]).astype(np.int64)
+
+
+def _places(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``np.nonzero`` of a table."""
+    return np.divmod(np.flatnonzero(mask), max(mask.shape[1], 1))
 
 
 class Best:
@@ -137,24 +149,52 @@ class Best:
     def __init__(self, groups: int, k: int, floor: np.ndarray) -> None:
         self.k = k
         self.least = floor  # per group: no lower score can come in any more
-        self.group, self.score, self.id = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.count = np.zeros(groups, np.int64)
+        self.scores, self.ids = np.zeros((groups, k), np.int64), np.zeros((groups, k), np.int64)
 
     def add(self, group: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         met = score >= self.least[group]
-        group = np.r_[self.group, group[met]]
-        score = np.r_[self.score, score[met]]
-        ids = np.r_[self.id, ids[met]]
+        if not met.any():
+            return
+        some = np.unique(group[met])
+        held = self._held(some)
+        group = np.r_[np.repeat(some, self.count[some]), group[met]]
+        score = np.r_[self.scores[some][held], score[met]]
+        ids = np.r_[self.ids[some][held], ids[met]]
         order = np.lexsort((ids, -score, group))
         group, score, ids = group[order], score[order], ids[order]
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.empty(0, np.int64)
-        rank = np.arange(len(group)) - np.repeat(first, np.diff(np.r_[first, len(group)]))
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        sizes = np.diff(np.r_[first, len(group)])
+        rank = np.arange(len(group)) - np.repeat(first, sizes)
         kept = rank < self.k
-        self.group, self.score, self.id = group[kept], score[kept], ids[kept]
+        self.scores[group[kept], rank[kept]], self.ids[group[kept], rank[kept]] = score[kept], ids[kept]
+        self.count[some] = np.minimum(sizes, self.k)
         full = rank == self.k - 1
         self.least[group[full]] = np.maximum(self.least[group[full]], score[full])
 
+    def _held(self, groups: np.ndarray | slice = slice(None)) -> np.ndarray:
+        return np.arange(self.k) < self.count[groups][:, None]
+
+    @property
+    def group(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.count)), self.count)
+
+    @property
+    def score(self) -> np.ndarray:
+        return self.scores[self._held()]
+
+    @property
+    def id(self) -> np.ndarray:
+        return self.ids[self._held()]
+
 
 LOWEST = np.iinfo(np.int64).min
+FREE = 1e-3  # added to all intervals
+
+
+def _below(threshold: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """Thresholds as a column of floating point numbers that aren't larger, less ``FREE``."""
+    return np.nextafter((threshold.astype(np.float64) - FREE).astype(kind), kind.type(-np.inf))[:, None]
 
 
 class Positives:
@@ -168,17 +208,20 @@ class Positives:
         self.best = Best(len(self.ids), POSITIVES, np.full(len(self.ids), LOWEST))
 
     def meet(self, rows: Block) -> None:
-        for label in np.unique(rows.label):
+        opened, half = self.queries.open(rows.codes, rows.align)
+        for label in np.intersect1d(rows.label, self.labels):
             some, at_label = np.flatnonzero(rows.label == label), np.flatnonzero(self.labels == label)
             for begin in range(0, len(at_label), ANCHOR_STEP):
                 at = at_label[begin : begin + ANCHOR_STEP]
-                low, high = self.queries.interval(at, rows.codes[some], rows.align[some])
+                high = self.queries.reach(at, opened[some])
                 itself = self.ids[at][:, None] == rows.id[some]
-                low[itself] = -np.inf
-                least = self.best.least[at].astype(np.float64)
-                if len(some) > POSITIVES:  # so many lie above the k-th lower bound
-                    least = np.maximum(least, -np.partition(-low, POSITIVES - 1, axis=1)[:, POSITIVES - 1])
-                i, j, score = self.queries.scores(at, rows.x[some], (high >= least[:, None]) & ~itself)
+                least = self.best.least[at]
+                if len(some) > POSITIVES and (self.best.count[at] < POSITIVES).any():
+                    # So many lie above the k-th lower bound.
+                    low = high.astype(np.float64) - 2 * self.queries.length[at][:, None] * half[some]
+                    low[itself] = -np.inf
+                    least = np.maximum(least, -np.partition(-low, POSITIVES - 1, axis=1)[:, POSITIVES - 1] - 2 * FREE)
+                i, j, score = self.queries.scores(at, rows.x[some], (high >= _below(least, high.dtype)) & ~itself)
                 self.best.add(at[i], score, rows.id[some][j])
 
     def result(self) -> pa.RecordBatch:
@@ -205,19 +248,22 @@ class Negatives:
         self.best = Best(scores.size, NEGATIVES, self.low.ravel().copy())
 
     def meet(self, rows: Block) -> None:
+        opened, half = self.queries.open(rows.codes, rows.align)
+        is_open = self.low <= self.high
+        roof = np.where(is_open, self.high, LOWEST).max(axis=1).astype(np.float64)
         for begin in range(0, len(self.ids), ANCHOR_STEP):
             at = np.arange(begin, min(begin + ANCHOR_STEP, len(self.ids)))
-            low, high = self.queries.interval(at, rows.codes, rows.align)
-            other = self.labels[at][:, None] != rows.label
-            may = np.zeros(other.shape, bool)
-            for p in range(POSITIVES):
-                least = self.best.least[at * POSITIVES + p]
-                may |= (high >= least[:, None]) & (low <= self.high[at, p][:, None]) & (self.low[at, p] <= self.high[at, p])[:, None]
-            i, j, score = self.queries.scores(at, rows.x, may & other)
-            anchor = at[i]
-            for p in range(POSITIVES):
-                inside = (score >= self.low[anchor, p]) & (score <= self.high[anchor, p])
-                self.best.add(anchor[inside] * POSITIVES + p, score[inside], rows.id[j[inside]])
+            high = self.queries.reach(at, opened)
+            # Of the positives the one with the lowest threshold; which bands hold a pair its score tells.
+            least = np.where(is_open[at], self.best.least.reshape(-1, POSITIVES)[at], np.inf).min(axis=1)
+            i, j = _places(high >= _below(least, high.dtype))
+            length, width = self.queries.length[at], 2 * (half + FREE)
+            low = high.ravel()[i * len(half) + j] - (length + 1)[i] * width[j]
+            may = (low <= roof[at][i]) & (self.labels[at][i] != rows.label[j])
+            i, j = i[may], j[may]
+            score = self.queries.products(at, rows.x, i, j)
+            pair, p = np.nonzero((score[:, None] >= self.low[at[i]]) & (score[:, None] <= self.high[at[i]]))
+            self.best.add(at[i[pair]] * POSITIVES + p, score[pair], rows.id[j[pair]])
 
     def result(self) -> pa.RecordBatch:
         best = self.best
@@ -331,7 +377,8 @@ def _search(rows: DataFrame, anchors: DataFrame, kind: type, width: int, per_row
     left = cells(anchors, 0, anchor_block, F.lit(row_blocks), lambda a, r: r * anchor_blocks + a)
     right = rows.withColumn("positives", F.lit(None).cast(anchors.schema["positives"].dataType))
     right = cells(right, 1, row_block, F.lit(anchor_blocks), lambda r, a: r * anchor_blocks + a)
-    dealt = left.unionByName(right).repartition(row_blocks * anchor_blocks, "cell").sortWithinPartitions("cell", "side")
+    dealt = left.unionByName(right).repartitionById(row_blocks * anchor_blocks, F.col("cell").cast("int"))
+    dealt = dealt.sortWithinPartitions("cell", "side")
     return dealt.mapInArrow(_meet(kind, width), kind.fields)
 
 

@@ -137,3 +137,37 @@ def test_no_rows_and_extra_columns(spark, mixed):
     assert mined(df) == brute(mixed[:120])
     assert mined(df.limit(0)) == set()
     assert mined(df.where("vec_id % 50 <> 0")) == set()
+
+
+def test_only_new_groups_are_ordered_again(monkeypatch):
+    """The time of a step must not grow with the anchors that were met before."""
+    ordered = []
+    lexsort = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: ordered.append(len(keys[0])) or lexsort(keys))
+    rng = np.random.default_rng(3)
+    best, all_ = hard_negatives.Best(500, 3, np.full(500, hard_negatives.LOWEST)), []
+    for step in range(50):
+        group = np.repeat(np.arange(step * 10, step * 10 + 10), 8)
+        score, ids = rng.integers(0, 9, 80), rng.permutation(80) + 100 * step
+        for half in (slice(0, 80, 2), slice(1, 80, 2)):
+            best.add(group[half], score[half], ids[half])
+        all_ += list(zip(group.tolist(), (-score).tolist(), ids.tolist(), strict=True))
+    assert max(ordered) <= 40 + 30
+    want = [r for g in range(500) for r in sorted(x for x in all_ if x[0] == g)[:3]]
+    assert list(zip(best.group.tolist(), (-best.score).tolist(), best.id.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("scale", [1, 2.0**30])
+def test_reach_holds_the_products_in_either_precision(scale):
+    rng = np.random.default_rng(5)
+    x = np.floor(rng.normal(size=(200, 128)) * 100) * scale
+    x[0] = 0
+    codes, align = hard_negatives.coded(x)
+    block = hard_negatives.Queries(x[:50])
+    opened, half = block.open(codes, align)
+    for short in (block.short, None):
+        block.short = short
+        high = block.reach(np.arange(50), opened).astype(float) + hard_negatives.FREE
+        low = high - 2 * (block.length[:50, None] * half + hard_negatives.FREE)
+        exact = x[:50] @ x.T
+        assert (low <= exact).all() and (exact <= high).all()
